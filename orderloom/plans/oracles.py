@@ -180,12 +180,12 @@ _GATEWAY = """
 _LATE_MESSAGES = f"""
     SELECT topic, part, m_ts, failure_code, bad FROM (
         SELECT 'order-events' AS topic, rn, f, broker_timestamp, m_ts, bad, failure_code
-        FROM om LEFT JOIN oc USING (rn, f, broker_timestamp, m_ts, bad)
+        FROM om LEFT JOIN (SELECT rn, failure_code FROM oc) USING (rn)
         UNION ALL SELECT 'payment-events', rn, f, broker_timestamp, m_ts, bad, failure_code
-        FROM pmsg LEFT JOIN pc USING (rn, f, broker_timestamp, m_ts, bad)),
-    LATERAL (SELECT CASE WHEN year(broker_timestamp) < 1997 THEN 0
-                         WHEN year(broker_timestamp) < 1999 THEN 1 ELSE 2 END
-                    + CASE WHEN rn % 50 = 7 THEN 1 ELSE 0 END AS part)"""
+        FROM pmsg LEFT JOIN (SELECT rn, failure_code FROM pc) USING (rn)),
+    LATERAL (SELECT CAST(CASE WHEN year(broker_timestamp) < 1997 THEN 0
+                              WHEN year(broker_timestamp) < 1999 THEN 1 ELSE 2 END
+                         + CASE WHEN rn % 50 = 7 THEN 1 ELSE 0 END AS BIGINT) AS part)"""
 
 
 def oracles() -> dict[str, str]:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,6 +76,11 @@ def metrics_of(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline_metrics(D.batch_counts(spark, sf))
 
 
+def store_of(spark: SparkSession, root: str) -> Store:
+    """Tables for batches that each span all years of the driver data."""
+    return Store(spark, root, grain="year")
+
+
 MESSAGES = {
     S.ORDERS_TOPIC: D.order_messages,
     S.PAYMENTS_TOPIC: D.payment_messages,
@@ -98,13 +104,23 @@ def stream_width(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def play(spark: SparkSession, slices: list[dict[str, DataFrame]], run: Callable[[], object]) -> None:
-    """Write each slice of files, then let a stream take what is new: one batch per slice."""
-    with stream_width(spark):
-        for part in slices:
-            for path, rows in part.items():
-                rows.write.mode("append").parquet(path)
-            run().awaitTermination()
+def play(spark: SparkSession, slices: list[dict[str, DataFrame]], run: Callable[[], object],
+         shared: DataFrame | None = None) -> None:
+    """Write each slice of files, then let a stream take what is new: one batch per slice.
+
+    `shared` is what the slices are cut from; it is kept while they are written.
+    """
+    if shared is not None:
+        shared.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with stream_width(spark):
+            for part in slices:
+                for path, rows in part.items():
+                    rows.write.mode("append").parquet(path)
+                run().awaitTermination()
+    finally:
+        if shared is not None:
+            shared.unpersist()
 
 
 # Sources.
@@ -133,7 +149,7 @@ def src_multi_topic(spark, sf):
         stream = file_messages(spark, f"{root}/in", list(S.TOPICS))
         return streams.each_batch(stream, streams.to_table(f"{root}/out"), f"{root}/cp")
 
-    play(spark, halves, run)
+    play(spark, halves, run, rows)
     out = read_table(spark, f"{root}/out", S.ENVELOPE)
     return out.groupBy("topic", "partition", "batch_id").agg(
         F.count("*").alias("n"), F.sum("offset").alias("offsets"))
@@ -151,8 +167,9 @@ def _archived(spark: SparkSession, sf: str) -> str:
     path = f"{work_dir(spark, 'archive')}/{S.ORDERS_TOPIC}"
     events = D.table(spark, sf, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("event_timestamp"), "user_id", "event_type")
-    for batch, parity in ((0, 0), (1, 1), (1, 1)):  # the second batch is tried twice
-        archives.archive(events.where(F.col("event_id") % 2 == parity), path, batch)
+    early = F.dayofmonth("event_timestamp") <= 15
+    for batch, part in ((0, early), (1, ~early), (1, ~early)):  # the second batch is tried twice
+        archives.archive(events.where(part), path, batch)
     return path
 
 
@@ -187,7 +204,7 @@ def _deliveries(events: DataFrame, amount: str, number) -> DataFrame:
 
 
 def _stored_raw(spark: SparkSession, topic: str, deliveries: DataFrame, amount: str) -> DataFrame:
-    store = Store(spark, work_dir(spark, "raw"))
+    store = store_of(spark, work_dir(spark, "raw"))
     fields = [c for c in S.RAW_COLUMNS[topic] if c not in ("raw_payload", "ingested_at")]
     for batch in (0, 1, 1):  # the second batch is tried twice
         rows = deliveries.where(F.col("batch") == batch).select(*fields, "source_offset")
@@ -220,7 +237,7 @@ def raw_inventory_first_wins(spark, sf):
 @query
 def gold_upsert(spark, sf):
     orders, payments, inventory = streams_of(spark, sf)
-    store = Store(spark, work_dir(spark, "gold"))
+    store = store_of(spark, work_dir(spark, "gold"))
     store.add_gold(R.reconcile(orders, payments.where("attempt = 0"),
                                inventory.where("l_linenumber < 3"),
                                as_of="2001-07-15 11:00:00"), 0)
@@ -403,7 +420,7 @@ def recon_dlq_candidates(spark, sf):
 
 @query
 def incremental_reconcile(spark, sf):
-    store = Store(spark, work_dir(spark, "incremental"))
+    store = store_of(spark, work_dir(spark, "incremental"))
     orders, payments, inventory = streams_of(spark, sf)
     k = F.col("k")
     batches = {
@@ -520,12 +537,12 @@ def dlq_by_topic(spark, sf):
 def stream_end_to_end(spark, sf):
     """All topics through the micro-batch job in three batches; gold as it ends up."""
     root = work_dir(spark, "job")
-    store = Store(spark, f"{root}/tables")
+    store = store_of(spark, f"{root}/tables")
     rows = D.messages(spark, sf)
     slices = [{f"{root}/in": rows.where(F.col("offset") % 3 == n)} for n in range(3)]
     play(spark, slices, lambda: job.start(
         file_messages(spark, f"{root}/in"), store, f"{root}/cp", trigger=None,
-        as_of=D.MESSAGES_AS_OF, late_after=None))
+        as_of=D.MESSAGES_AS_OF, late_after=None), rows)
     return store.gold()
 
 
@@ -533,14 +550,14 @@ def stream_end_to_end(spark, sf):
 def stream_late_to_dlq(spark, sf):
     """Orders and payments by year, some delivered one batch later than they should be."""
     root = work_dir(spark, "late")
-    store = Store(spark, f"{root}/tables")
+    store = store_of(spark, f"{root}/tables")
     rows = D.order_messages(spark, sf).unionByName(D.payment_messages(spark, sf))
     year, held_back = F.year("timestamp"), (F.col("offset") % 50 == 7).cast("int")
     part = F.when(year < 1997, 0).when(year < 1999, 1).otherwise(2) + held_back
     slices = [{f"{root}/in": rows.where(part == n)} for n in range(4)]
     play(spark, slices, lambda: job.start(
         file_messages(spark, f"{root}/in"), store, f"{root}/cp", trigger=None,
-        as_of=D.LATE_AS_OF))
+        as_of=D.LATE_AS_OF), rows)
     code = F.substring_index("failure_reason", ":", 1)
     return store.dead_letters().groupBy(
         "source_topic", code.alias("failure_code"), "batch_id").agg(F.count("*").alias("n"))
@@ -669,7 +686,7 @@ def gateway_two_stage(spark, sf):
 @query
 def stream_dlq_ingest(spark, sf):
     root = work_dir(spark, "dlqstream")
-    store = Store(spark, f"{root}/tables")
+    store = store_of(spark, f"{root}/tables")
     rows = D.dead_letter_messages(spark, sf)
     halves = [{f"{root}/in": rows.where(F.col("offset") % 2 == n)} for n in (0, 1)]
     play(spark, halves, lambda: streams.dead_letter_stream(

@@ -20,6 +20,9 @@ def build_session(app: str = "orderloom", master: str | None = None, **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.streaming.metricsEnabled": "true",
+        # Recording the call site of every expression takes most of the time of building a plan,
+        # which a micro-batch job does again for each batch.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **conf,

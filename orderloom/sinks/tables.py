@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom import schemas as S
@@ -45,25 +45,56 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, partitions: Sequence[
      .partitionBy(*partitions).parquet(f"{path}/batch_id={batch_id}"))
 
 
-def touched_dates(rows: DataFrame, column: str = "event_date") -> list[date] | None:
-    """Distinct dates of a batch, or None when they are too many to list in a filter."""
-    found = [r[0] for r in rows.select(column).distinct().limit(MAX_LISTED_DATES + 1).collect()]
-    return None if len(found) > MAX_LISTED_DATES else sorted(d for d in found if d is not None)
+@dataclass(frozen=True)
+class Partitions:
+    """Time partitions to read. Too many to list means the whole table, which is slower but whole."""
+
+    dates: frozenset[date] | None
+
+    @staticmethod
+    def listed(column: str | Column) -> Column:
+        """Aggregate that lists the distinct partitions, or gives null for too many."""
+        found = F.collect_set(column)
+        return F.when(F.size(found) <= MAX_LISTED_DATES, found)
+
+    @classmethod
+    def of(cls, rows: DataFrame, column: str = "event_date") -> Partitions:
+        return cls.from_list(rows.agg(cls.listed(column)).first()[0])
+
+    @classmethod
+    def from_list(cls, dates) -> Partitions:
+        return cls(None if dates is None else frozenset(dates))
 
+    def __or__(self, other: Partitions) -> Partitions:
+        if self.dates is None or other.dates is None:
+            return Partitions(None)
+        return Partitions(self.dates | other.dates)
 
-def on_dates(stored: DataFrame, dates: list[date] | None, column: str = "event_date") -> DataFrame:
-    """Partition filter; without a date list the whole table is read, which is slower but whole."""
-    if dates is None:
-        return stored
-    return stored.where(F.col(column).isin(dates)) if dates else stored.where(F.lit(False))
+    def limit(self, stored: DataFrame, column: str = "event_date") -> DataFrame:
+        if self.dates is None:
+            return stored
+        if not self.dates:
+            return stored.where(F.lit(False))
+        return stored.where(F.col(column).isin(sorted(self.dates)))
 
 
 @dataclass(frozen=True)
 class Store:
-    """The tables of one pipeline below one folder."""
+    """The tables of one pipeline below one folder.
+
+    `grain` is the width of a time partition: day suits a live stream, month or year a backfill
+    whose batches span many years with few rows per day. `event_date` is the partition's first day.
+    """
 
     spark: SparkSession
     root: str
+    grain: str = "day"
+
+    def partition_of(self, time: Column) -> Column:
+        return F.to_date(F.date_trunc(self.grain, time))
+
+    def next_partition(self, partition: Column) -> Column:
+        return F.to_date(F.timestamp_add(self.grain.upper(), F.lit(1), partition.cast("timestamp")))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -74,21 +105,23 @@ class Store:
         return read_table(self.spark, self.path(S.TOPICS[topic].raw_table), S.RAW_TABLES[topic],
                           "event_date date")
 
-    def add_raw(self, events: DataFrame, topic: str, batch_id: int, as_of=None) -> DataFrame:
-        """Store normalised events of a batch; gives back the rows that were new.
+    def add_raw(self, events: DataFrame, topic: str, batch_id: int, as_of=None,
+                partitions: Partitions | None = None) -> None:
+        """Store normalised events of a batch, except those whose key is stored already.
 
-        The event time is part of the key, so only stored rows of the batch's own dates can
-        conflict, and only those partitions are read.
+        The event time is part of the key, so only stored rows of the batch's own time
+        partitions can conflict, and only those are read. They are looked up unless given.
         """
         spec = S.TOPICS[topic]
-        rows = raw_rows(events, topic, as_of).withColumn("event_date", F.to_date("event_timestamp"))
+        rows = raw_rows(events, topic, as_of).withColumn(
+            "event_date", self.partition_of(F.col("event_timestamp")))
         order = [c for c in ("source_offset", "raw_payload") if c in rows.columns]
         fresh = first_wins(rows, spec.raw_key, order).drop("source_offset")
         earlier = self.raw(topic).where(F.col("batch_id") < batch_id)
-        stored = on_dates(earlier, touched_dates(rows))
-        write_batch(only_new(fresh, stored, spec.raw_key), self.path(spec.raw_table), batch_id,
-                    ["event_date"])
-        return self.raw(topic).where(F.col("batch_id") == batch_id)
+        if batch_id:
+            stored = (partitions or Partitions.of(rows)).limit(earlier)
+            fresh = only_new(fresh, stored, spec.raw_key)
+        write_batch(fresh, self.path(spec.raw_table), batch_id, ["event_date"])
 
     # Dead letters: every row stays.
 
@@ -97,7 +130,7 @@ class Store:
                           "failed_date date")
 
     def add_dead_letters(self, rows: DataFrame, batch_id: int) -> None:
-        dated = rows.withColumn("failed_date", F.to_date("failed_at"))
+        dated = rows.withColumn("failed_date", self.partition_of(F.col("failed_at")))
         write_batch(dated, self.path("dead_letter_events"), batch_id, ["failed_date"])
 
     # Gold: a log of versions, resolved by the mixed conflict rule when read.
@@ -111,8 +144,8 @@ class Store:
 
     def add_gold(self, rows: DataFrame, batch_id: int) -> None:
         typed = rows.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in S.GOLD.split(", ")])
-        write_batch(typed.withColumn("event_date", F.to_date("event_timestamp")),
-                    self.path("reconciled_order_events"), batch_id, ["event_date"])
+        dated = typed.withColumn("event_date", self.partition_of(F.col("event_timestamp")))
+        write_batch(dated, self.path("reconciled_order_events"), batch_id, ["event_date"])
 
     def compact_gold(self, target: str) -> None:
         """Rewrite the resolved table as one batch of a new store folder.
@@ -122,7 +155,7 @@ class Store:
         """
         last = self.gold_versions().agg(F.max("batch_id")).first()[0]
         if last is not None:
-            Store(self.spark, target).add_gold(self.gold(), last)
+            Store(self.spark, target, self.grain).add_gold(self.gold(), last)
 
     # Metrics: one row per batch.
 
@@ -162,5 +195,5 @@ def append_checks(results: DataFrame, path: str) -> None:
 def now_counts(spark: SparkSession, batch_id: int, as_of=None, **counts: int) -> DataFrame:
     """One row of batch counts as input of `pipeline_metrics`."""
     literals = [F.lit(int(v)).cast("bigint").alias(k) for k, v in counts.items()]
-    return spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"),
+    return spark.range(1, numPartitions=1).select(F.lit(batch_id).cast("bigint").alias("batch_id"),
                                  moment(as_of).alias("batch_timestamp"), *literals)
