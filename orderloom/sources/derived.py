@@ -19,8 +19,20 @@ MESSAGES_AS_OF = "2001-08-03 00:00:00"
 LATE_AS_OF = "2001-08-02 12:00:00"
 
 
+SPREAD_BY = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. One that is read in fewer splits than there are cores is spread over them.
+
+    A small table comes as a single row group, which would leave all that follows to one core. A
+    table of many splits is not shuffled.
+    """
+    df = use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, SPREAD_BY[name])
+    return df
 
 
 def _shift(ts: str, seconds: str) -> Column:
