@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 SPREAD = 64
 
 
-def left_join_unique(big: DataFrame, unique: DataFrame, key: str, spread_by: str,
+def left_join_unique(big: DataFrame, unique: DataFrame, key: Sequence[str], spread_by: str,
                      hot_rows: int = HOT_ROWS, spread: int = SPREAD) -> DataFrame:
     """Left join `big` to a side with at most one row per key, splitting hot keys of `big`.
 
@@ -19,8 +22,10 @@ def left_join_unique(big: DataFrame, unique: DataFrame, key: str, spread_by: str
     side are repeated. AQE cannot do this here: it splits a side only when that side is a plain
     shuffle, and the unique side comes out of an aggregate.
     """
-    hot = (big.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-           .where(F.col("_n") > hot_rows).select(key, F.lit(True).alias("_hot")))
+    key = list(key)
+    keyed = reduce(Column.__and__, [F.col(c).isNotNull() for c in key])
+    hot = (big.where(keyed).groupBy(*key).agg(F.count("*").alias("_n"))
+           .where(F.col("_n") > hot_rows).select(*key, F.lit(True).alias("_hot")))
     left = (big.join(F.broadcast(hot), key, "left")
             .withColumn("_salt", F.when(F.col("_hot"),
                                         F.pmod(F.xxhash64(spread_by), F.lit(spread)))
@@ -29,4 +34,4 @@ def left_join_unique(big: DataFrame, unique: DataFrame, key: str, spread_by: str
         F.array(F.lit(0)))
     right = (unique.join(F.broadcast(hot), key, "left")
              .withColumn("_salt", F.explode(salts)).drop("_hot"))
-    return left.join(right, [key, "_salt"], "left").drop("_hot", "_salt")
+    return left.join(right, [*key, "_salt"], "left").drop("_hot", "_salt")

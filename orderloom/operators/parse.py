@@ -24,12 +24,13 @@ def parse(messages: DataFrame, topic: str, strict_types: bool = True) -> DataFra
     """
     spec: Topic = TOPICS[topic]
     text = F.col("value").cast("string")
+    document = F.from_json(text, f"{spec.schema}, {CORRUPT} string",
+                           {"columnNameOfCorruptRecord": CORRUPT})
+    # As a generator of one row the document is read once. As a plain column it would be read again
+    # for every field that a later filter names, since filters are moved below the projection.
     parsed = messages.select(
-        F.from_json(text, f"{spec.schema}, {CORRUPT} string",
-                    {"columnNameOfCorruptRecord": CORRUPT}).alias("d"),
-        text.alias("value"), F.col("topic").alias("source_topic"),
-        F.col("offset").alias("source_offset"), F.col("timestamp").alias("broker_timestamp"),
-    ).select("d.*", "value", "source_topic", "source_offset", "broker_timestamp")
+        F.inline(F.array(document)), text.alias("value"), F.col("topic").alias("source_topic"),
+        F.col("offset").alias("source_offset"), F.col("timestamp").alias("broker_timestamp"))
     failed = F.col(spec.id_field).isNull()
     if strict_types:
         failed = failed | F.col(CORRUPT).isNotNull()

@@ -154,7 +154,8 @@ def reconcile_unbounded(orders: DataFrame, payments: DataFrame, inventory: DataF
                 F.count("paid").alias("payment_matches"),
                 F.count("stocked").alias("inventory_matches")))
     events = order_legs(orders.where(_KEYED))
-    joined = left_join_unique(events, legs, "order_id", "event_timestamp", hot_rows=hot_rows)
+    joined = left_join_unique(events, legs, ["order_id"], "event_timestamp",
+                              hot_rows=hot_rows)
     counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("payment_matches", "inventory_matches")]
     return gold_rows(
         joined.select("order_id", "event_timestamp", "placed.*", "paid", "stocked", *counts),
@@ -175,7 +176,7 @@ def unbounded_legs(orders: DataFrame, payments: DataFrame, inventory: DataFrame,
     stocked = reservations(inventory).select(
         "order_id", F.lit("inventory").alias("leg"), F.col("inventory_id").alias("leg_id"),
         "event_type", F.col("event_timestamp").alias("leg_at"))
-    joined = left_join_unique(paid.unionByName(stocked), anchors, "order_id", "leg_id",
+    joined = left_join_unique(paid.unionByName(stocked), anchors, ["order_id"], "leg_id",
                               hot_rows=hot_rows)
     latency = latency_seconds(F.col("ordered_at"), F.col("leg_at"))
     return joined.select(

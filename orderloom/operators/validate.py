@@ -122,9 +122,8 @@ def validate(events: DataFrame, topic: str, as_of=None, storage_limits: bool = T
             F.lit(rule.code).alias("code"),
             (F.lit(None) if rule.detail is None else rule.detail).cast("string").alias("detail")))
         for rule in rules])
-    return (events.withColumn("_fault", first)
-            .withColumn("failure_code", F.col("_fault.code"))
-            .withColumn("failure_detail", F.col("_fault.detail")).drop("_fault"))
+    # A generator of one row again, so that filters on the outcome do not repeat the rules.
+    return events.select("*", F.inline(F.array(first)).alias("failure_code", "failure_detail"))
 
 
 def valid_rows(validated: DataFrame) -> DataFrame:

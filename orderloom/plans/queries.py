@@ -578,15 +578,15 @@ def late_events(spark, sf):
 def stream_dedup(spark, sf):
     root = work_dir(spark, "dedup")
     orders = D.orders_ev(spark, sf).select("k", "order_id", "event_type", "event_timestamp")
-    copies = orders.unionByName(orders.where(F.col("k") % 4 == 0)).drop("k")
+    copies = orders.unionByName(orders.where(F.col("k") % 4 == 0).withColumn("k", -F.col("k")))
     year = F.year("event_timestamp")
     slices = [{f"{root}/in": copies.where(c)} for c in (
         year < 1997, (year >= 1997) & (year < 1999), year >= 1999)]
 
     def run():
         stream = spark.readStream.schema(copies.schema).parquet(f"{root}/in")
-        once = streams.deduplicate(stream, list(S.TOPICS[S.ORDERS_TOPIC].raw_key))
-        return streams.each_batch(once, streams.to_table(f"{root}/out"), f"{root}/cp")
+        once = streams.deduplicate(stream, list(S.TOPICS[S.ORDERS_TOPIC].raw_key), spread_by="k")
+        return streams.each_batch(once.drop("k"), streams.to_table(f"{root}/out"), f"{root}/cp")
 
     play(spark, slices, run)
     return read_table(spark, f"{root}/out",

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.functions.skew import left_join_unique
 from orderloom.functions.times import plus_seconds
 from orderloom.schemas import WATERMARK_SECONDS
 from orderloom.sinks.tables import Store, read_table, write_batch
@@ -57,6 +58,6 @@ def mark_late(events: DataFrame, topic: str = "topic", batch: str = "batch",
     earlier = (Window.partitionBy(topic).orderBy(batch)
                .rowsBetween(Window.unboundedPreceding, -1))
     bounds = newest.withColumn("_before", F.max("_newest").over(earlier)).drop("_newest")
-    return (events.join(bounds, [topic, batch])
+    return (left_join_unique(events, bounds, [topic, batch], event_time)
             .withColumn("late", is_late(F.col(event_time), F.col("_before"), delay))
             .drop("_before"))
