@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
 SPREAD = 64
 
 
@@ -16,16 +17,19 @@ def left_join_unique(big: DataFrame, unique: DataFrame, key: Sequence[str], spre
                      hot_rows: int = HOT_ROWS, spread: int = SPREAD) -> DataFrame:
     """Left join `big` to a side with at most one row per key, splitting hot keys of `big`.
 
-    Keys with more than `hot_rows` rows are found with one narrow, map-side combined count. There
-    can be no more than rows / hot_rows of them, which bounds what is broadcast. Rows of a hot key
-    are spread over `spread` salts by the hash of `spread_by`, and only the hot keys of the unique
-    side are repeated. AQE cannot do this here: it splits a side only when that side is a plain
-    shuffle, and the unique side comes out of an aggregate.
+    Keys with more than `hot_rows` rows are found with one narrow, map-side combined count. Only the
+    `MAX_HOT_KEYS` largest of them are treated as hot, which bounds what is broadcast whatever the
+    size of the data. Any key left out of that list holds less than one part in `MAX_HOT_KEYS` of
+    the rows and goes through the plain shuffle like all others. Rows of a hot key are spread over
+    `spread` salts by the hash of `spread_by`, and only the hot keys of the unique side are
+    repeated. AQE cannot do this here: it splits a side only when that side is a plain shuffle, and
+    the unique side comes out of an aggregate.
     """
     key = list(key)
     keyed = reduce(Column.__and__, [F.col(c).isNotNull() for c in key])
     hot = (big.where(keyed).groupBy(*key).agg(F.count("*").alias("_n"))
-           .where(F.col("_n") > hot_rows).select(*key, F.lit(True).alias("_hot")))
+           .where(F.col("_n") > hot_rows).orderBy(F.desc("_n"), *key).limit(MAX_HOT_KEYS)
+           .select(*key, F.lit(True).alias("_hot")))
     left = (big.join(F.broadcast(hot), key, "left")
             .withColumn("_salt", F.when(F.col("_hot"),
                                         F.pmod(F.xxhash64(spread_by), F.lit(spread)))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.times import moment
-from orderloom.schemas import CORRUPT, DEAD_LETTER_EVENT
+from orderloom.schemas import CORRUPT, DEAD_LETTER_EVENT, DEAD_LETTER_TOPIC
 
 # Fixed values.
 REASON_LENGTH = 200
@@ -55,3 +55,11 @@ def dead_letters_from_messages(messages: DataFrame, as_of=None) -> DataFrame:
         F.when(broken, F.lit(INVALID_JSON)).otherwise(_reason(F.col("d.failure_reason")))
         .alias("failure_reason"),
         moment(as_of).alias("failed_at"))
+
+
+def as_messages(dead_letters: DataFrame) -> DataFrame:
+    """Rows of the dead letter table as messages for the dead letter topic."""
+    body = F.to_json(F.struct("failure_reason", "source_topic", "raw_payload"))
+    return dead_letters.select(
+        F.lit(None).cast("binary").alias("key"), body.cast("binary").alias("value"),
+        F.lit(DEAD_LETTER_TOPIC).alias("topic"))

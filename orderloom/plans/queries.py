@@ -671,7 +671,8 @@ def gateway_two_stage(spark, sf):
     rows = D.gateway_messages(spark, sf)
     halves = [{f"{root}/in": rows.where(F.col("offset") % 2 == n)} for n in (0, 1)]
     play(spark, halves, lambda: streams.gateway_stream(
-        file_messages(spark, f"{root}/in"), f"{root}/raw", f"{root}/payments", f"{root}/cp"))
+        file_messages(spark, f"{root}/in"), streams.to_table(f"{root}/raw"),
+        streams.to_table(f"{root}/payments"), f"{root}/cp"))
     sent = read_table(spark, f"{root}/payments", "key binary, value binary, topic string")
     payments = parsed_rows(parse(sent.withColumns({
         "offset": F.lit(0).cast("bigint"), "timestamp": F.lit(None).cast("timestamp")}),

@@ -3,7 +3,8 @@ from helpers import AS_OF, inventory_event, messages, order_event, payment_event
 
 from orderloom import schemas as S
 from orderloom.functions.times import parse_iso
-from orderloom.operators.deadletter import dead_letters_from_events, dead_letters_from_messages
+from orderloom.operators.deadletter import (as_messages, dead_letters_from_events,
+                                            dead_letters_from_messages)
 from orderloom.operators.gateway import flatten
 from orderloom.operators.normalise import normalise
 from orderloom.operators.parse import failed_rows, parse, parsed_rows
@@ -164,6 +165,14 @@ def test_dead_letters_from_any_shape(spark):
         "reconciler", "UNKNOWN", '{"id":0}')
 
 
+def test_dead_letters_go_through_their_topic(spark):
+    rejected = messages(spark, (S.ORDERS_TOPIC, "junk")).select(
+        "value", F.lit("R").alias("failure_reason"), F.lit("t").alias("source_topic"))
+    sent = as_messages(dead_letters_from_events(rejected, AS_OF))
+    back = dead_letters_from_messages(sent, AS_OF).first()
+    assert (back.failure_reason, back.source_topic) == ("R", "t") and "junk" in back.raw_payload
+
+
 def gateway_event(kind="payment_intent.succeeded", created=1705312800, **obj):
     body = {"id": "pi_1", "amount": 1999, "currency": "usd", "status": "ok",
             "metadata": {"order_id": "O1"}, "charges": {"data": [{"id": "ch_1"}, {"id": "ch_2"}]}}

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from orderloom import schemas as S
 from orderloom.sinks.tables import Store
+from orderloom.sources.archive import replay
 from orderloom.streaming.job import process_batch
 from orderloom.streaming.late import mark_late, newest_before
 
@@ -87,6 +88,16 @@ def test_empty_batch_writes_nothing_but_keeps_progress(spark, tmp_path):
     assert newest_before(store, 5) == newest_before(store, 2)  # folder before is absent
 
 
+def test_archive_of_a_batch(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "tables"))
+    run(spark, store, 0, (S.ORDERS_TOPIC, order_event()), (S.ORDERS_TOPIC, "junk"),
+        archive_path=str(tmp_path / "archive"))
+    kept = replay(spark, str(tmp_path / "archive" / S.ORDERS_TOPIC),
+                  "order_id string, event_timestamp timestamp", "2024-01-15 10:00:00",
+                  "2024-01-15 11:00:00")
+    assert [(r.order_id, r.day, r.hour) for r in kept.collect()] == [("O1", 15, 10)]
+
+
 def test_only_bad_messages(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     run(spark, store, 0, (S.ORDERS_TOPIC, "junk"), (S.PAYMENTS_TOPIC, None))
