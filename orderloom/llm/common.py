@@ -20,7 +20,8 @@ _shipped: set[str] = set()
 TYPES = {"bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(),
          "boolean": T.BooleanType(), "double": T.DoubleType(), "binary": T.BinaryType(),
          "bigints": T.ArrayType(T.LongType()), "ints": T.ArrayType(T.IntegerType()),
-         "strings": T.ArrayType(T.StringType())}
+         "strings": T.ArrayType(T.StringType()),
+         "bigint_lists": T.ArrayType(T.ArrayType(T.LongType()))}
 
 
 def columns(text: str) -> T.StructType:
@@ -55,6 +56,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """`name`, lengthened until no column of that name is there."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -75,6 +83,24 @@ def per_slice(df: DataFrame, task: Callable[[dict[str, list]], dict[str, list]],
     return df.mapInArrow(run, schema)
 
 
+def attached(df: DataFrame, needs: list[str], task: Callable[[dict[str, list]], list[dict]],
+             name: str, kind: T.StructType) -> DataFrame:
+    """All columns of `df` and a struct `name`, made by `task` from slices of the columns `needs`."""
+    ship(df.sparkSession)
+    schema = T.StructType([*[f for f in df.schema.fields if f.name != name],
+                           T.StructField(name, kind)])
+    fields = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [x for part in slices([batch.select(needs)]) for x in task(part)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(made, f.type) if f.name == name else batch.column(f.name)
+                 for f in fields], schema=fields)
+
+    return df.mapInArrow(run, schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[dict[str, list]]:
     for batch in batches:
         for first in range(0, batch.num_rows, rows):

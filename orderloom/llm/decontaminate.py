@@ -4,13 +4,13 @@ The windows of all test items, as words between spaces, are the patterns of one
 is normalised to words between spaces and scanned once; the places of hits are mapped to words, and
 by these to code points of the original text.
 
-Only the items' windows travel to the tasks. Their size is measured before, and above `max_chars` the
-items are dealt into blocks below it, each scanned by an automaton of its own; the hits of a
-document are then put together. Documents are never shuffled otherwise.
+Only the items travel to the tasks. Their size is measured before, and above `max_chars` the items are
+dealt into blocks of about that size, each scanned by an automaton of its own in a pass of its own,
+which adds to the hits of the pass before. Documents are never shuffled.
 
 Defined cases: null text has no words and is not contaminated; null items and items without a word
-match nothing; items alike are counted each. Repeated rows give a row each (of several blocks: one
-row for each different pair of doc_id and text). Empty tables give no rows or no hits.
+match nothing; items alike are counted each. Repeated rows give a row each. Empty tables give no
+rows or no hits. Other columns pass through `marked` whatever their names.
 """
 
 from __future__ import annotations
@@ -19,19 +19,17 @@ import hashlib
 import re
 
 import ahocorasick
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import columns, per_slice
+from orderloom.llm.common import attached, columns, fresh
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-HITS = columns("doc_id bigint, n_words bigint, hit_words ints, items strings, spans string")
-WITH_KEY = columns("key string, doc_id bigint, n_words bigint, hit_words ints, items strings,"
-                   "spans string")
+HITS = columns("n_words bigint, hit_words ints, items strings, spans string")
 #: Characters of benchmark text in one automaton.
 MAX_CHARS = 64_000_000
-_built: dict[int, tuple] = {}
+_built: dict[str, object] = {}
 
 
 def words_of(text: str | None) -> list[str]:
@@ -54,62 +52,75 @@ def automaton(items: list[tuple[str, str | None]], window: int):
     return made if found else None
 
 
-def scan(text: str | None, made, items: list[tuple[str, str | None]]) -> tuple:
-    """(words, numbers of hit words, ids of items, code point spans of hit runs)."""
+def scan(text: str | None, made, items: list[tuple[str, str | None]], before: dict | None) -> dict:
+    """The values of HITS, with what an earlier block found."""
     words = words_of(text)
-    if made is None or not words:
-        return len(words), [], [], ""
-    line = f" {' '.join(words)} "
-    places, which = [], set()
-    for end, (own, n, size) in made.iter(line):
-        places.append((end - size + 1, n))
-        which.update(own)
-    if not places:
-        return len(words), [], [], ""
-    starts, at = {}, 0
-    for i, word in enumerate(words):
-        starts[at] = i
-        at += len(word) + 1
-    hit = sorted({w for place, n in places for w in range(starts[place], starts[place] + n)})
-    spans = [m.span() for m in WORD.finditer(text.translate(LOWER))]
+    hit = set(before["hit_words"]) if before else set()
+    found = before["items"] if before else []
+    which: set[int] = set()
+    if made is not None and words:
+        places = []
+        line = f" {' '.join(words)} "
+        for end, (own, n, size) in made.iter(line):
+            places.append((end - size + 1, n))
+            which.update(own)
+        if places:
+            starts, at = {}, 0
+            for i, word in enumerate(words):
+                starts[at] = i
+                at += len(word) + 1
+            hit.update(w for place, n in places for w in range(starts[place], starts[place] + n))
+    return {"n_words": len(words), "hit_words": sorted(hit),
+            "items": sorted([*found, *(items[i][0] for i in which)]), "spans": spans(text, hit)}
+
+
+def spans(text: str | None, hit: set[int]) -> str:
+    """start:end code points, in the text as it is, of runs of hit words."""
+    if not hit:
+        return ""
+    at = [m.span() for m in WORD.finditer(text.translate(LOWER))]
     runs: list[list[int]] = []
-    for w in hit:
+    for w in sorted(hit):
         if runs and runs[-1][2] == w - 1:
-            runs[-1][1:] = [spans[w][1], w]
+            runs[-1][1:] = [at[w][1], w]
         else:
-            runs.append([*spans[w], w])
-    return (len(words), hit, sorted(items[i][0] for i in which),
-            ",".join(f"{a}:{b}" for a, b, _ in runs))
+            runs.append([*at[w], w])
+    return ",".join(f"{a}:{b}" for a, b, _ in runs)
+
+
+def marked(docs: DataFrame, items: DataFrame, name: str, window: int = 13,
+           max_chars: int = MAX_CHARS) -> DataFrame:
+    """All columns of `docs`, and a struct `name` of HITS; one pass for each block of items."""
+    needs = ["text"]
+    for block in item_blocks(items, max_chars):
+        docs = attached(docs, needs, _scanner(docs, block, window, name), name, HITS)
+        needs = ["text", name]
+    return docs
+
+
+def verdicts(name: str) -> list[Column]:
+    """n_words, n_hit, n_items, items_sha256 and contaminated of the struct `name`.
+
+    A document is contaminated when at least a twentieth of its words is hit.
+    """
+    n_words, hit = F.col(f"{name}.n_words"), F.size(f"{name}.hit_words").cast("bigint")
+    return [n_words.alias("n_words"), hit.alias("n_hit"),
+            F.size(f"{name}.items").cast("bigint").alias("n_items"),
+            F.sha2(F.concat_ws(",", f"{name}.items"), 256).alias("items_sha256"),
+            ((hit > 0) & (20 * hit >= n_words)).alias("contaminated")]
 
 
 def benchmark_hits(docs: DataFrame, items: DataFrame, window: int = 13,
                    max_chars: int = MAX_CHARS) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items, spans, items_sha256, contaminated.
+    """doc_id, the columns of `verdicts`, the items, and start:end code points of hit runs."""
+    return marked(docs.select("doc_id", "text"), items, "hits", window, max_chars).select(
+        "doc_id", *verdicts("hits"), "hits.items", "hits.spans")
 
-    `spans` are start:end code points of runs of hit words in the original text. A document is
-    contaminated when at least a twentieth of its words is hit.
-    """
-    blocks = item_blocks(items, max_chars)
-    if len(blocks) == 1:
-        found = _scan_block(docs.select("doc_id", "text"), blocks[0], window)
-    else:
-        keyed = docs.select(F.sha2(F.concat_ws(":", F.col("doc_id").cast("string"), "text"), 256)
-                            .alias("key"), "doc_id", "text").dropDuplicates(["key"])
-        parts = [_scan_block(keyed, block, window, WITH_KEY) for block in blocks]
-        whole = parts[0]
-        for part in parts[1:]:
-            whole = whole.unionByName(part)
-        found = whole.groupBy("key").agg(
-            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-            F.array_distinct(F.flatten(F.collect_list("hit_words"))).alias("hit_words"),
-            F.array_sort(F.flatten(F.collect_list("items"))).alias("items"),
-            F.concat_ws(",", F.collect_list(F.when(F.col("spans") != "", F.col("spans")))).alias(
-                "spans")).drop("key")
-    hit = F.size("hit_words").cast("bigint")
-    return found.select(
-        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
-        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
-        ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"), "items", "spans")
+
+def without_benchmark(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFrame:
+    """The rows of `docs`, all columns, that are not contaminated."""
+    name = fresh("hits", docs.columns)
+    return marked(docs, items, name, window).where(~verdicts(name)[-1]).drop(name)
 
 
 def item_blocks(items: DataFrame, max_chars: int) -> list[list[tuple[str, str | None]]]:
@@ -123,18 +134,17 @@ def item_blocks(items: DataFrame, max_chars: int) -> list[list[tuple[str, str |
     return [[tuple(r) for r in sized.collect()]]
 
 
-def _scan_block(docs: DataFrame, block: list, window: int, schema=HITS) -> DataFrame:
+def _scanner(docs: DataFrame, block: list, window: int, name: str):
     items = [(item_id or "", text) for item_id, text in block]
     sent = docs.sparkSession.sparkContext.broadcast(items)
-    mark = int(hashlib.md5(repr((items, window)).encode()).hexdigest()[:15], 16)
+    mark = hashlib.md5(repr((items, window)).encode()).hexdigest()
 
-    def task(part: dict[str, list]) -> dict[str, list]:
+    def task(part: dict[str, list]) -> list[dict]:
         if mark not in _built:  # once per Python worker
             _built.clear()
-            _built[mark] = (automaton(sent.value, window), sent.value)
-        made, own = _built[mark]
-        rows = [(*keys, *scan(t, made, own)) for *keys, t in zip(
-            *(part[c] for c in schema.names if c in ("key", "doc_id")), part["text"], strict=True)]
-        return dict(zip(schema.names, map(list, zip(*rows, strict=True)), strict=True))
+            _built[mark] = automaton(sent.value, window)
+        before = part.get(name, [None] * len(part["text"]))
+        return [scan(text, _built[mark], sent.value, found)
+                for text, found in zip(part["text"], before, strict=True)]
 
-    return per_slice(docs, task, schema)
+    return task

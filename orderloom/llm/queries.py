@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, credentials, decontaminate, packing, quality, tokenbin, urlfilter
+from orderloom.llm import (chat, credentials, decontaminate, language, linededup, packing, quality,
+                           setjoin, tokenbin, urlfilter)
 from orderloom.llm.common import documents
 
 
@@ -25,6 +26,16 @@ def op2_token_planes(spark: SparkSession, sf: str) -> DataFrame:
     return tokenbin.token_shards(documents(spark, sf), tokenizer("word_bpe_49k.json"))
 
 
+def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return linededup.dedup_lines(documents(spark, sf)).select(
+        "doc_id", "n_lines", "n_removed_lines", "n_removed_words", "removed",
+        F.sha2("text", 256).alias("text_sha256"))
+
+
+def op4_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return setjoin.jaccard_components(documents(spark, sf), k=3, percent=90)
+
+
 def op5_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     given = spark.read.parquet(f"{sf}/conversations.parquet").select(
         "conv_id", "turn", "role", "text")
@@ -49,11 +60,15 @@ def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
         spark.read.parquet(f"{sf}/pages.parquet"), urlfilter.RULES).drop("glob")
 
 
+def op9_language(spark: SparkSession, sf: str) -> DataFrame:
+    return language.identify(documents(spark, sf))
+
+
 def op10_pack(spark: SparkSession, sf: str) -> DataFrame:
     return packing.packed_digest(documents(spark, sf), tokenizer("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_rules, op2_token_planes, op5_chat_format, op6_decontaminate, op7_credentials,
-        op8_url_filter, op10_pack)}
+        op1_quality_rules, op2_token_planes, op3_line_dedup, op4_jaccard_join, op5_chat_format,
+        op6_decontaminate, op7_credentials, op8_url_filter, op9_language, op10_pack)}
