@@ -5,15 +5,21 @@ from __future__ import annotations
 import os
 import re
 
+import numpy as np
+
 #: White space as Unicode defines it. Python's \s holds four more control characters, which the
 #: tokenizers treat as symbols.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Letters that are letters to every library.
+PLAIN = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 #: A text falls into a run of other characters with at most one white space before it, and what
-#: further white space stands before or at the end. Neither tokenizer's own split pattern, lower
-#: casing or merges reach over such a border, so the ids of a text are those of its pieces in order.
-PIECE = re.compile(f"[{WHITE}]?[^{WHITE}]+|[{WHITE}]+(?=[{WHITE}][^{WHITE}])|[{WHITE}]+")
+#: further white space stands before or at the end; plain words are parted from a sign after them.
+#: Neither tokenizer's own split pattern, lower casing or merges reach over such a border, so the
+#: ids of a text are those of its pieces in order.
+PIECE = re.compile(f"[{WHITE}]?[{PLAIN}]+(?=[.,;:!?{WHITE}]|$)|[{WHITE}]?[^{WHITE}]+"
+                   f"|[{WHITE}]+(?=[{WHITE}][^{WHITE}])|[{WHITE}]+")
 #: Pieces kept in a worker; at this number the memory is emptied (time only, never results).
-KEPT_PIECES = 300_000
+KEPT_PIECES = 1_000_000
 LONG_PIECE = 64
 
 _loaded: dict[str, "Encoder"] = {}
@@ -31,22 +37,32 @@ class Encoder:
         self.kept: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
+        kept = self.kept
+        if len(kept) > KEPT_PIECES:
+            kept.clear()
         pieces = [PIECE.findall(text) for text in texts]
-        if len(self.kept) > KEPT_PIECES:
-            self.kept = {}
-        kept, once = self.kept, {}
-        new = sorted({p for own in pieces for p in own if p not in kept})
-        for first in range(0, len(new), 4096):
-            part = new[first:first + 4096]
-            for piece, made in zip(part, self.tokenizer.encode_batch_fast(
-                    part, add_special_tokens=False), strict=True):
-                (kept if len(piece) <= LONG_PIECE else once)[piece] = np.array(
-                    made.ids, "<u4").tobytes()
-        if not once:
-            return [b"".join([kept[p] for p in own]) for own in pieces]
-        return [b"".join([once[p] if p in once else kept[p] for p in own]) for own in pieces]
+        found = [list(map(kept.get, own)) for own in pieces]
+        new = {p for own, made in zip(pieces, found, strict=True) if None in made
+               for p, ids in zip(own, made, strict=True) if ids is None}
+        if not new:
+            return [b"".join(made) for made in found]
+        fresh = self._encoded(sorted(new))
+        kept.update((p, ids) for p, ids in fresh.items() if len(p) <= LONG_PIECE)
+        return [b"".join([fresh[p] if ids is None else ids
+                          for p, ids in zip(own, made, strict=True)])
+                for own, made in zip(pieces, found, strict=True)]
+
+    def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
+        """Many pieces a call: the tokenizer takes them as words of one split text."""
+        made: dict[str, bytes] = {}
+        for first in range(0, len(pieces), 1024):
+            part = pieces[first:first + 1024]
+            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            edges = np.searchsorted(np.array(found.word_ids, "i8"), np.arange(len(part) + 1)) * 4
+            ids, edges = np.array(found.ids, "<u4").tobytes(), edges.tolist()
+            made.update(zip(part, [ids[a:b] for a, b in zip(edges, edges[1:], strict=False)],
+                            strict=True))
+        return made
 
 
 def encoder(path: str) -> Encoder:
