@@ -30,7 +30,7 @@ PIECES = columns("doc_id bigint, piece int, start bigint, length bigint, ids bin
 #: Groups of large lengths; the linear program has as many rows. The best of these plans is taken.
 GROUPS = (12, 24, 48)
 #: Row numbers are taken within (length, salt).
-SALTS = 256
+SALTS = 64
 
 
 @dataclass
