@@ -8,15 +8,18 @@ import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from orderloom.session import work_dir
 
-#: Texts that a task holds as Python strings at once.
-SLICE_ROWS = 256
+#: Rows and text that a task holds as Python objects at once.
+SLICE_ROWS, SLICE_BYTES = 256, 2_000_000
 _shipped: set[str] = set()
+_memory: dict[str, dict] = {}
 TYPES = {"bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(),
          "boolean": T.BooleanType(), "double": T.DoubleType(), "binary": T.BinaryType(),
          "bigints": T.ArrayType(T.LongType()), "ints": T.ArrayType(T.IntegerType()),
@@ -102,10 +105,29 @@ def attached(df: DataFrame, needs: list[str], task: Callable[[dict[str, list]],
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[dict[str, list]]:
+    """Columns as lists, of at most `rows` rows and about `SLICE_BYTES` of text (or one row)."""
     for batch in batches:
-        for first in range(0, batch.num_rows, rows):
-            part = batch.slice(first, rows)
+        sizes = np.zeros(batch.num_rows, "i8")
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+                sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        upto, first = np.cumsum(sizes), 0
+        while first < batch.num_rows:
+            before = upto[first] - sizes[first]
+            end = int(np.searchsorted(upto, before + SLICE_BYTES, side="right"))
+            part = batch.slice(first, max(1, min(end - first, rows)))
             yield {name: part.column(i).to_pylist() for i, name in enumerate(part.schema.names)}
+            first += part.num_rows
+
+
+def worker_memory(owner: str) -> dict:
+    """What one operator keeps in a Python worker between tasks. Workers serve one task after another;
+    when another operator comes, what the one before kept is dropped.
+    """
+    if owner not in _memory:
+        _memory.clear()
+        _memory[owner] = {}
+    return _memory[owner]
 
 
 def arrow_schema(schema: T.StructType) -> pa.Schema:

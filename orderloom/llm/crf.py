@@ -208,7 +208,7 @@ def pair_counts(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray
     after = np.full((n, k), 1.0 / k, seen.dtype)
     total = np.zeros((k, k), "f4")
     for t in range(longest - 2, -1, -1):
-        after[t + 1 >= lengths] = 1.0 / k
+        after[t + 2 >= lengths] = 1.0 / k  # what follows the word after this one
         right = seen[:, t + 1] * after
         joint = ahead[:, t, :, None] * moves[None] * right[:, None, :]
         joint /= joint.sum(axis=(1, 2), keepdims=True)

@@ -22,14 +22,13 @@ import ahocorasick
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import attached, columns, fresh
+from orderloom.llm.common import attached, columns, fresh, worker_memory
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 HITS = columns("n_words bigint, hit_words ints, items strings, spans string")
 #: Characters of benchmark text in one automaton.
 MAX_CHARS = 64_000_000
-_built: dict[str, object] = {}
 
 
 def words_of(text: str | None) -> list[str]:
@@ -140,11 +139,12 @@ def _scanner(docs: DataFrame, block: list, window: int, name: str):
     mark = hashlib.md5(repr((items, window)).encode()).hexdigest()
 
     def task(part: dict[str, list]) -> list[dict]:
-        if mark not in _built:  # once per Python worker
-            _built.clear()
-            _built[mark] = automaton(sent.value, window)
+        built = worker_memory("decontaminate")
+        if mark not in built:  # once per Python worker
+            built.clear()
+            built[mark] = automaton(sent.value, window)
         before = part.get(name, [None] * len(part["text"]))
-        return [scan(text, _built[mark], sent.value, found)
+        return [scan(text, built[mark], sent.value, found)
                 for text, found in zip(part["text"], before, strict=True)]
 
     return task

@@ -14,13 +14,14 @@ import re
 import numpy as np
 import xxhash
 
+from orderloom.llm.common import worker_memory
+
 WORD = re.compile("[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 #: Words whose hash is kept in a worker; then the memory is emptied.
 KEPT_WORDS = 500_000
 BITMAP = 512
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-_kept: dict[str, int] = {}
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -33,13 +34,14 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     words = WORD.findall((text or "").translate(LOWER))
     if not words:
         return np.zeros(0, "u8")
-    if len(_kept) > KEPT_WORDS:
-        _kept.clear()
-    found = list(map(_kept.get, words))
+    kept = worker_memory("shingles")
+    if len(kept) > KEPT_WORDS:
+        kept.clear()
+    found = list(map(kept.get, words))
     if None in found:
         for i, h in enumerate(found):
             if h is None:
-                found[i] = _kept[words[i]] = xxhash.xxh3_64_intdigest(words[i])
+                found[i] = kept[words[i]] = xxhash.xxh3_64_intdigest(words[i])
     h = np.array(found, "u8")
     n = max(1, len(words) - k + 1)
     width = min(k, len(words))

@@ -7,6 +7,8 @@ import re
 
 import numpy as np
 
+from orderloom.llm.common import worker_memory
+
 #: White space as Unicode defines it. Python's \s holds four more control characters, which the
 #: tokenizers treat as symbols.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -22,8 +24,6 @@ PIECE = re.compile(f"[{WHITE}]?[{PLAIN}]+(?=[.,;:!?{WHITE}]|$)|[{WHITE}]?[^{WHIT
 KEPT_PIECES = 1_000_000
 LONG_PIECE = 64
 
-_loaded: dict[str, "Encoder"] = {}
-
 
 class Encoder:
     """ids(texts): the ids of each text as little-endian unsigned 32-bit integers."""
@@ -67,6 +67,7 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """One per Python worker and tokenizer file."""
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+    loaded = worker_memory("tokens")
+    if path not in loaded:
+        loaded[path] = Encoder(path)
+    return loaded[path]

@@ -25,14 +25,13 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 
-from orderloom.llm.common import columns, per_slice
+from orderloom.llm.common import columns, per_slice, worker_memory
 
 URL = re.compile("(?s).*?://([^/?#]*)([^?#]*)(\\?[^#]*)?")
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 RESULT = columns("page_id bigint, host string, path string, rule string, verdict string,"
                  "glob string")
 Token = tuple[str, str]
-_automata: dict[tuple, "Automaton"] = {}
 
 
 @dataclass(frozen=True)
@@ -164,11 +163,12 @@ def url_filter(pages: DataFrame, rules: tuple[Rule, ...], default: str = "allow"
     """page_id, host, path, rule (the name of the rule, or null), verdict, glob."""
 
     def task(part: dict[str, list]) -> dict[str, list]:
-        if rules not in _automata:  # once per Python worker
-            _automata.clear()
-            _automata[rules] = Automaton(rules)
+        made = worker_memory("urlfilter")
+        if rules not in made:  # once per Python worker
+            made.clear()
+            made[rules] = Automaton(rules)
         split = [parts_of(u) for u in part["url"]]
-        fits = _automata[rules].first_fit(
+        fits = made[rules].first_fit(
             [f".{h}{p}{q}" if h or p else "" for h, p, q in split])
         return {"page_id": part[key], "host": [s[0] for s in split], "path": [s[1] for s in split],
                 "rule": [r and r.name for r in fits],
