@@ -3,39 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
-SPREAD = 64
+from orderloom.session import work_dir
 
 
-def left_join_unique(big: DataFrame, unique: DataFrame, key: Sequence[str], spread_by: str,
-                     hot_rows: int = HOT_ROWS, spread: int = SPREAD) -> DataFrame:
-    """Left join `big` to a side with at most one row per key, splitting hot keys of `big`.
+def left_join_unique(big: DataFrame, unique: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Left join `big` to a side with at most one row per key.
 
-    Keys with more than `hot_rows` rows are found with one narrow, map-side combined count. Only the
-    `MAX_HOT_KEYS` largest of them are treated as hot, which bounds what is broadcast whatever the
-    size of the data. Any key left out of that list holds less than one part in `MAX_HOT_KEYS` of
-    the rows and goes through the plain shuffle like all others. Rows of a hot key are spread over
-    `spread` salts by the hash of `spread_by`, and only the hot keys of the unique side are
-    repeated. AQE cannot do this here: it splits a side only when that side is a plain shuffle, and
-    the unique side comes out of an aggregate.
+    The unique side comes out of an aggregate, which keeps AQE from splitting a key of `big` with
+    very many rows. Written as a table first it is a plain scan like the other side: AQE then splits
+    what is skewed, at any size, and each input is read once.
     """
-    key = list(key)
-    keyed = reduce(Column.__and__, [F.col(c).isNotNull() for c in key])
-    hot = (big.where(keyed).groupBy(*key).agg(F.count("*").alias("_n"))
-           .where(F.col("_n") > hot_rows).orderBy(F.desc("_n"), *key).limit(MAX_HOT_KEYS)
-           .select(*key, F.lit(True).alias("_hot")))
-    left = (big.join(F.broadcast(hot), key, "left")
-            .withColumn("_salt", F.when(F.col("_hot"),
-                                        F.pmod(F.xxhash64(spread_by), F.lit(spread)))
-                        .otherwise(F.lit(0)).cast("int")))
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(
-        F.array(F.lit(0)))
-    right = (unique.join(F.broadcast(hot), key, "left")
-             .withColumn("_salt", F.explode(salts)).drop("_hot"))
-    return left.join(right, [*key, "_salt"], "left").drop("_hot", "_salt")
+    path = work_dir(unique.sparkSession, "unique")
+    unique.write.parquet(path)
+    stored = unique.sparkSession.read.schema(unique.schema).parquet(path)
+    return big.join(stored, list(key), "left")

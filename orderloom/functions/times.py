@@ -33,6 +33,12 @@ def latency_seconds(start: Column, end: Column) -> Column:
     return F.round(micros / F.lit(1000000).cast("decimal(7,0)"), 2).cast("decimal(18,2)")
 
 
+def within_seconds(start: Column, end: Column, limit: int) -> Column:
+    """Whether `end` is at most so many seconds after `start`, exact; false if either is missing."""
+    return F.coalesce(F.timestamp_diff("MICROSECOND", start, end) <= F.lit(limit * 1_000_000),
+                      F.lit(False))
+
+
 def within_last_day(ts: Column, as_of: Column) -> Column:
     return (ts >= plus_seconds(as_of, -86400)) & (ts <= as_of)
 

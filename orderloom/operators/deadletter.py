@@ -16,6 +16,7 @@ DEFAULT_SOURCE = "reconciler"
 
 
 def _reason(reason: Column) -> Column:
+    """The reason that a message brought along; the topic's consumer cuts it."""
     return F.substring(F.coalesce(reason, F.lit(UNKNOWN)), 1, REASON_LENGTH)
 
 
@@ -32,7 +33,7 @@ def dead_letters_from_events(rejected: DataFrame, as_of=None) -> DataFrame:
     reason = F.col("failure_reason") if "failure_reason" in columns else F.lit(None).cast("string")
     return rejected.select(
         F.coalesce(source, F.lit(DEFAULT_SOURCE)).alias("source_topic"),
-        payload.alias("raw_payload"), _reason(reason).alias("failure_reason"),
+        payload.alias("raw_payload"), F.coalesce(reason, F.lit(UNKNOWN)).alias("failure_reason"),
         moment(as_of).alias("failed_at"))
 
 

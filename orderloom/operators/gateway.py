@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from orderloom.schemas import GATEWAY_EVENT, PAYMENTS_TOPIC
 
+#: Digits of a stand-in order id: enough that two never meet, and within the stored 50 characters.
+STAND_IN_DIGITS = 32
+
 # Gateway event types and the payment event types they stand for.
 EVENT_TYPES = {
     "payment_intent.succeeded": "PAYMENT_CONFIRMED",
@@ -45,7 +48,7 @@ def flatten(messages: DataFrame) -> DataFrame:
     event = F.col("raw_payload")
     obj = event["data"]["object"]
     order_id = obj["metadata"]["order_id"]
-    stand_in = F.concat(F.lit("ORD-"), F.upper(F.substring(F.sha2(event["id"], 256), 1, 10)))
+    stand_in = F.concat(F.lit("ORD-"), F.upper(F.substring(F.sha2(event["id"], 256), 1, STAND_IN_DIGITS)))
     created = F.date_format(F.timestamp_seconds(event["created"]), "yyyy-MM-dd'T'HH:mm:ss")
     return (
         read_gateway(messages)

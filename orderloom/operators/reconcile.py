@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom import schemas as S
-from orderloom.functions.skew import HOT_ROWS, left_join_unique
-from orderloom.functions.times import latency_seconds, moment, plus_seconds
+from orderloom.functions.skew import left_join_unique
+from orderloom.functions.times import latency_seconds, moment, plus_seconds, within_seconds
 
 UNMATCHED = "NO_PAYMENT_OR_INVENTORY_WITHIN_WINDOW"
 
@@ -66,13 +66,14 @@ def timeline(orders: DataFrame, payments: DataFrame, inventory: DataFrame) -> Da
 
 def reconcile(orders: DataFrame, payments: DataFrame, inventory: DataFrame, *,
               join_window: int = S.JOIN_WINDOW_SECONDS, sla: int = S.SLA_SECONDS,
-              slice_seconds: int = 300, as_of=None) -> DataFrame:
+              inventory_sla: int | None = None, slice_seconds: int = S.JOIN_WINDOW_SECONDS,
+              as_of=None) -> DataFrame:
     """Each created order with its earliest confirmed payment and reservation in the window.
 
     Both matches are forward as-of lookups: the earliest event from the order's time up to
     `join_window` seconds later, ends included, smallest id first among equal times. They are read
     off one sorted pass over the timeline, so candidates are never paired with each other.
-    Work is split by order id and time slice. A payment or reservation close to a slice's start is
+    Work is split by order id and time slice, no wider than the window unless asked for. A payment or reservation close to a slice's start is
     also placed in the slice before, where an order may still be waiting for it.
     """
     width = max(slice_seconds, join_window)
@@ -103,19 +104,24 @@ def reconcile(orders: DataFrame, payments: DataFrame, inventory: DataFrame, *,
         "order_id", "event_timestamp", "placed.*",
         F.when(F.col("paid.at") <= limit, F.col("paid")).alias("paid"),
         F.when(F.col("stocked.at") <= limit, F.col("stocked")).alias("stocked"))
-    return gold_rows(matched, sla=sla, as_of=as_of)
+    return gold_rows(matched, sla=sla, inventory_sla=inventory_sla, as_of=as_of)
 
 
 def gold_rows(matched: DataFrame, *extra: str, sla: int = S.SLA_SECONDS,
-              as_of=None) -> DataFrame:
-    """The 17 gold columns from an order row with its `paid` and `stocked` legs, then `extra`."""
+              inventory_sla: int | None = None, as_of=None) -> DataFrame:
+    """The 17 gold columns from an order row with its `paid` and `stocked` legs, then `extra`.
+
+    `inventory_sla` is the limit of reservations, that of payments unless given. Limits are compared
+    with the exact time between; only the latency shown is rounded.
+    """
     ordered_at = F.col("event_timestamp")
+    allowed = {"paid": sla, "stocked": sla if inventory_sla is None else inventory_sla}
 
     def latency(leg: str) -> Column:
         return latency_seconds(ordered_at, F.col(f"{leg}.at"))
 
     def met(leg: str) -> Column:
-        return F.coalesce(latency(leg) <= F.lit(sla), F.lit(False))
+        return within_seconds(ordered_at, F.col(f"{leg}.at"), allowed[leg])
 
     return matched.select(
         "order_id", "event_timestamp", "customer_id", "total_amount", "order_status",
@@ -134,9 +140,9 @@ def gold_rows(matched: DataFrame, *extra: str, sla: int = S.SLA_SECONDS,
 
 
 def reconcile_unbounded(orders: DataFrame, payments: DataFrame, inventory: DataFrame, *,
-                        sla: int = S.SLA_SECONDS, as_of=None,
-                        hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Every order event with the earliest final payment and reservation of its id, at any time.
+                        sla: int = S.SLA_SECONDS, inventory_sla: int | None = None,
+                        as_of=None) -> DataFrame:
+    """Every order event, also one without id or time, with the earliest final payment and reservation of its id, at any time.
 
     There is no time bound, so a payment may precede its order and have a negative latency. Instead
     of one row per combination of order, payment and reservation, each order event comes once, with
@@ -153,20 +159,19 @@ def reconcile_unbounded(orders: DataFrame, payments: DataFrame, inventory: DataF
                 F.min("paid").alias("paid"), F.min("stocked").alias("stocked"),
                 F.count("paid").alias("payment_matches"),
                 F.count("stocked").alias("inventory_matches")))
-    events = order_legs(orders.where(_KEYED))
-    joined = left_join_unique(events, legs, ["order_id"], "event_timestamp",
-                              hot_rows=hot_rows)
+    joined = left_join_unique(order_legs(orders), legs, ["order_id"])
     counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("payment_matches", "inventory_matches")]
     return gold_rows(
         joined.select("order_id", "event_timestamp", "placed.*", "paid", "stocked", *counts),
-        "payment_matches", "inventory_matches", sla=sla, as_of=as_of)
+        "payment_matches", "inventory_matches", sla=sla, inventory_sla=inventory_sla, as_of=as_of)
 
 
 def unbounded_legs(orders: DataFrame, payments: DataFrame, inventory: DataFrame, *,
-                   sla: int = S.SLA_SECONDS, hot_rows: int = HOT_ROWS) -> DataFrame:
+                   sla: int = S.SLA_SECONDS) -> DataFrame:
     """Every final payment and every reservation with the first event of its order, if any.
 
-    As many rows come out as legs go in, whatever the number of legs per order.
+    As many rows come out as legs go in, whatever the number of legs per order; each is compared with
+    the first event of its order.
     """
     anchors = orders.where(_KEYED).groupBy("order_id").agg(
         F.min("event_timestamp").alias("ordered_at"))
@@ -176,13 +181,12 @@ def unbounded_legs(orders: DataFrame, payments: DataFrame, inventory: DataFrame,
     stocked = reservations(inventory).select(
         "order_id", F.lit("inventory").alias("leg"), F.col("inventory_id").alias("leg_id"),
         "event_type", F.col("event_timestamp").alias("leg_at"))
-    joined = left_join_unique(paid.unionByName(stocked), anchors, ["order_id"], "leg_id",
-                              hot_rows=hot_rows)
+    joined = left_join_unique(paid.unionByName(stocked), anchors, ["order_id"])
     latency = latency_seconds(F.col("ordered_at"), F.col("leg_at"))
     return joined.select(
         "order_id", "leg", "leg_id", "event_type", "leg_at", "ordered_at",
         latency.alias("latency_seconds"),
-        F.coalesce(latency <= F.lit(sla), F.lit(False)).alias("sla_met"))
+        within_seconds(F.col("ordered_at"), F.col("leg_at"), sla).alias("sla_met"))
 
 
 def is_unmatched() -> Column:

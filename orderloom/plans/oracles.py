@@ -171,7 +171,7 @@ _GATEWAY = """
                 WHEN 4 THEN 'PAYMENT_DISPUTED' WHEN 5 THEN 'PAYMENT_REFUNDED'
                 WHEN 6 THEN 'PAYMENT_CONFIRMED' WHEN 7 THEN 'PAYMENT_FAILED' END AS mapped,
            CASE WHEN k % 4 <> 0 THEN 'ORD-' || k
-                ELSE 'ORD-' || upper(substr(sha256('evt_' || k), 1, 10)) END AS order_id,
+                ELSE 'ORD-' || upper(substr(sha256('evt_' || k), 1, 32)) END AS order_id,
            CASE WHEN k % 17 <> 0 THEN CAST(round(o_totalprice * 100) AS BIGINT) / 100 END AS amount,
            CASE WHEN k % 23 <> 0
                 THEN strftime(ordered_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS event_timestamp
@@ -201,6 +201,10 @@ def oracles() -> dict[str, str]:
               "FROM ic WHERE failure_code IS NULL",
     }
     msg_views = ("om", "pmsg", "im")
+    # The same with the batch a message comes in; what batch n takes, and what it knows of partners.
+    parts = {f"{v}b": stored[v].replace("FROM", ", source_offset % 3 AS part FROM") for v in stored}
+    parts |= {f"o{n}": f"SELECT * FROM vob WHERE part = {n}" for n in range(3)}
+    parts |= {f"{x}{n}": f"SELECT * FROM v{x}b WHERE part <= {n}" for x in "pi" for n in range(3)}
     topics = (("order-events", "om", "oc"), ("payment-events", "pmsg", "pc"),
               ("inventory-events", "im", "ic"))
     parse_failures = " UNION ALL ".join(
@@ -235,13 +239,15 @@ def oracles() -> dict[str, str]:
                CAST(o.total_amount AS DOUBLE) AS total_amount, o.status AS order_status,
                p.payment_id, p.event_timestamp AS payment_confirmed_at,
                p.gateway AS payment_gateway, CAST(p.amount AS DOUBLE) AS payment_amount,
-               coalesce(epoch(p.event_timestamp) - epoch(o.event_timestamp) <= 60, FALSE)
-                   AS payment_sla_met,
-               epoch(p.event_timestamp) - epoch(o.event_timestamp) AS payment_latency_seconds,
+               coalesce(date_diff('microsecond', o.event_timestamp, p.event_timestamp) <= 60000000,
+                        FALSE) AS payment_sla_met,
+               round(date_diff('microsecond', o.event_timestamp, p.event_timestamp) / 1e6, 2)
+                   AS payment_latency_seconds,
                i.inventory_id, i.event_timestamp AS inventory_reserved_at, i.sku,
-               coalesce(epoch(i.event_timestamp) - epoch(o.event_timestamp) <= 60, FALSE)
-                   AS inventory_sla_met,
-               epoch(i.event_timestamp) - epoch(o.event_timestamp) AS inventory_latency_seconds,
+               coalesce(date_diff('microsecond', o.event_timestamp, i.event_timestamp) <= 60000000,
+                        FALSE) AS inventory_sla_met,
+               round(date_diff('microsecond', o.event_timestamp, i.event_timestamp) / 1e6, 2)
+                   AS inventory_latency_seconds,
                {ORDERS_AS_OF} AS reconciled_at, coalesce(p.n, 0) AS payment_matches,
                coalesce(i.n, 0) AS inventory_matches
         FROM oe o
@@ -254,8 +260,10 @@ def oracles() -> dict[str, str]:
              ON i.order_id = o.order_id AND i.pick = 1"""
     legs = """
         SELECT l.order_id, leg, leg_id, l.event_type, leg_at, o.event_timestamp AS ordered_at,
-               epoch(leg_at) - epoch(o.event_timestamp) AS latency_seconds,
-               coalesce(epoch(leg_at) - epoch(o.event_timestamp) <= 60, FALSE) AS sla_met
+               round(date_diff('microsecond', o.event_timestamp, leg_at) / 1e6, 2)
+                   AS latency_seconds,
+               coalesce(date_diff('microsecond', o.event_timestamp, leg_at) <= 60000000, FALSE)
+                   AS sla_met
         FROM (SELECT order_id, 'payment' AS leg, payment_id AS leg_id, event_type,
                      event_timestamp AS leg_at FROM pe
               UNION ALL SELECT order_id, 'inventory', inventory_id, event_type, event_timestamp
@@ -357,6 +365,8 @@ def oracles() -> dict[str, str]:
         "reconcile": with_views(matched(), *STREAMS),
         "stream_reconcile": with_views(matched(), *STREAMS),
         "incremental_reconcile": with_views(matched(), *STREAMS),
+        "recon_wide_window": with_views(
+            matched(window=120, sla=60, inventory_sla=45), *STREAMS),
         "recon_unbounded": with_views(unbounded, *STREAMS),
         "recon_legs": with_views(legs, *STREAMS),
         "recon_terminal": with_views(
@@ -418,6 +428,16 @@ def oracles() -> dict[str, str]:
                       FROM (SELECT DISTINCT topic, part FROM lm) n
                       JOIN lm m ON m.topic = n.topic AND m.part < n.part
                            AND NOT m.bad AND m.failure_code IS NULL GROUP BY 1, 2"""),
+        "stream_unmatched_to_dlq": with_views(
+            " UNION ALL ".join(
+                f"""SELECT order_id, event_timestamp, CAST({n} AS BIGINT) AS batch_id
+                    FROM ({matched(f'o{n}', f'p{n}', f'i{n}', MESSAGES_AS_OF)})
+                    WHERE payment_id IS NULL AND inventory_id IS NULL AND event_timestamp <
+                      (SELECT greatest(max(o.t), max(p.t), max(i.t)) FROM
+                         (SELECT max(event_timestamp) AS t FROM vob WHERE part <= {n}) o,
+                         (SELECT max(event_timestamp) AS t FROM vpb WHERE part <= {n}) p,
+                         (SELECT max(event_timestamp) AS t FROM vib WHERE part <= {n}) i)
+                      - INTERVAL 150 SECOND""" for n in range(3)), *msg_views, **codes, **parts),
         "late_events": """
             WITH e AS (SELECT event_id, 'topic-' || (user_id % 3) AS topic,
                               date_trunc('hour', ts) AS batch,

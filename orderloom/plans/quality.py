@@ -112,12 +112,12 @@ def check_dlq_growth(dead_letters: DataFrame, as_of=None) -> DataFrame:
         F.format_string("%d today, %d the day before", "today", "before"))], at)
 
 
-def check_dlq_breakdown(dead_letters: DataFrame, as_of=None) -> DataFrame:
-    """The most frequent reasons of the last day in one line; no row when there are none."""
+def check_dlq_breakdown(dead_letters: DataFrame, as_of=None, top: int = TOP_REASONS) -> DataFrame:
+    """The `top` most frequent reasons of the last day in one line; no row when there are none."""
     at = moment(as_of)
     top = (dead_letters.where(within_last_day(F.col("failed_at"), at))
            .groupBy("source_topic", "failure_reason").agg(F.count("*").alias("n"))
-           .orderBy(F.desc("n"), "source_topic", "failure_reason").limit(TOP_REASONS))
+           .orderBy(F.desc("n"), "source_topic", "failure_reason").limit(top))
     entry = F.struct((-F.col("n")).alias("rank"), "source_topic", "failure_reason", F.concat_ws(
         "", "source_topic", F.lit("/"), "failure_reason", F.lit(":"), "n").alias("text"))
     line = top.agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(entry)).alias("entries"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,13 +40,9 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach.
 
-    It lies below `spark.checkpoint.dir`, the shared folder the cluster names. Only a local master
-    may go without that setting; there a folder of the one machine is as good as a shared one.
+    It lies below `spark.checkpoint.dir`, the shared folder the cluster names, and without that
+    setting below the session's warehouse.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir")
-    if shared:
-        return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix=f"orderloom-{label}-")
+        "spark.checkpoint.dir") or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -1,16 +1,20 @@
 """Keyed and append-only Parquet tables written one batch at a time.
 
-Every table is a folder of `batch_id=N` folders. A batch replaces its own folder when it is run
-again, so each write can be repeated after a failure without leaving duplicates. On a table format
-with MERGE the version log of gold would become a MERGE; plain Parquet has none.
+A dated table is a folder of `event_date=D/batch_id=N` folders (raw events have the day of arrival in
+between), the date outermost: readers that know their dates name these folders and list no others,
+however many batches there are. A batch replaces its own folders when it is run again, and a batch
+run again has the same rows (see `streaming.job`), so each write can be repeated after a failure
+without leaving duplicates. On a table format with MERGE the version log of gold would become a
+MERGE; plain Parquet has none.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timedelta
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +24,16 @@ from orderloom.functions.rates import ratio
 from orderloom.functions.times import moment
 from orderloom.operators.keyed import first_wins, only_new, raw_rows, resolve_gold
 
-MAX_LISTED_DATES = 400
 
+def read_table(spark: SparkSession, path: str, schema: str, partitions: str = "",
+               within: str = "") -> DataFrame:
+    """All batches of a table with their `batch_id`; no rows when nothing was written yet.
 
-def read_table(spark: SparkSession, path: str, schema: str, partitions: str = "") -> DataFrame:
-    """All batches of a table with their `batch_id`; no rows when nothing was written yet."""
+    `within` is a pattern of folders below `path`; only these are listed.
+    """
     full = ", ".join(x for x in (schema, partitions, "batch_id bigint") if x)
     try:
-        return spark.read.schema(full).parquet(path)
+        return spark.read.schema(full).option("basePath", path).parquet(f"{path}/{within}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -35,47 +41,29 @@ def read_table(spark: SparkSession, path: str, schema: str, partitions: str = ""
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int, partitions: Sequence[str] = ()) -> None:
-    """Write one batch folder, replacing an earlier attempt.
+    """Write one batch, replacing an earlier attempt.
 
     The rebalance hint gathers each partition value in few files and lets AQE split a value that
     holds a large share of the rows.
     """
-    balanced = rows.hint("rebalance", *partitions) if partitions else rows
-    (balanced.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(*partitions).parquet(f"{path}/batch_id={batch_id}"))
-
-
-@dataclass(frozen=True)
-class Partitions:
-    """Time partitions to read. Too many to list means the whole table, which is slower but whole."""
+    if not partitions:
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        return
+    balanced = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).hint(
+        "rebalance", *partitions)
+    (balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partitions, "batch_id").parquet(path))
 
-    dates: frozenset[date] | None
 
-    @staticmethod
-    def listed(column: str | Column) -> Column:
-        """Aggregate that lists the distinct partitions, or gives null for too many."""
-        found = F.collect_set(column)
-        return F.when(F.size(found) <= MAX_LISTED_DATES, found)
+def any_of(column: str, values: Iterable[date]) -> str:
+    """Pattern of the folders of these values; of none, a pattern that fits nothing."""
+    found = sorted({str(v) for v in values})
+    return f"{column}={{{','.join(found) or 'none'}}}"
 
-    @classmethod
-    def of(cls, rows: DataFrame, column: str = "event_date") -> Partitions:
-        return cls.from_list(rows.agg(cls.listed(column)).first()[0])
 
-    @classmethod
-    def from_list(cls, dates) -> Partitions:
-        return cls(None if dates is None else frozenset(dates))
-
-    def __or__(self, other: Partitions) -> Partitions:
-        if self.dates is None or other.dates is None:
-            return Partitions(None)
-        return Partitions(self.dates | other.dates)
-
-    def limit(self, stored: DataFrame, column: str = "event_date") -> DataFrame:
-        if self.dates is None:
-            return stored
-        if not self.dates:
-            return stored.where(F.lit(False))
-        return stored.where(F.col(column).isin(sorted(self.dates)))
+def partition_values(rows: DataFrame, column: str) -> set[date]:
+    """Different partitions of the rows: as many as there will be folders."""
+    return {r[0] for r in rows.select(column).distinct().collect() if r[0] is not None}
 
 
 @dataclass(frozen=True)
@@ -96,38 +84,92 @@ class Store:
     def next_partition(self, partition: Column) -> Column:
         return F.to_date(F.timestamp_add(self.grain.upper(), F.lit(1), partition.cast("timestamp")))
 
+    def partitions_between(self, since: datetime, until: datetime) -> list[date]:
+        """First days of all partitions that hold times from `since` up to `until`."""
+        first = {"day": since.date(), "month": since.date().replace(day=1),
+                 "year": since.date().replace(month=1, day=1)}[self.grain]
+        step = {"day": 1, "month": 31, "year": 366}[self.grain]
+        found = []
+        while first <= until.date():
+            found.append(first)
+            first += timedelta(days=step)
+            first = {"day": first, "month": first.replace(day=1),
+                     "year": first.replace(month=1, day=1)}[self.grain]
+        return found
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _dated(self, name: str, schema: str, column: str, time: str, since, until,
+               between: str = "") -> DataFrame:
+        """Rows with since <= time < until; with both limits given as times or text, only the
+        folders of their dates are listed, else the limits prune what is read."""
+        kinds = f"{column} date{between}"
+        low, high = _time_of(since), _time_of(until)
+        if low and high:
+            dates = self.partitions_between(low, high)
+            rows = read_table(self.spark, self.path(name), schema, kinds, any_of(column, dates))
+        else:
+            rows = read_table(self.spark, self.path(name), schema, kinds)
+            for limit, keep in ((since, F.col(column).__ge__), (until, F.col(column).__le__)):
+                if limit is not None:
+                    rows = rows.where(keep(self.partition_of(moment(limit))))
+        if since is not None:
+            rows = rows.where(F.col(time) >= moment(since))
+        return rows if until is None else rows.where(F.col(time) < moment(until))
+
     # Raw events: the first row of a key stays.
 
-    def raw(self, topic: str) -> DataFrame:
+    def raw(self, topic: str, since=None, until=None, ingested_since=None) -> DataFrame:
+        """Stored events by event time; `ingested_since` looks only at days of arrival from then."""
+        rows = self._dated(S.TOPICS[topic].raw_table, S.RAW_TABLES[topic], "event_date",
+                           "event_timestamp", since, until, ", ingested_date date")
+        if ingested_since is not None:
+            at = moment(ingested_since)
+            rows = rows.where(F.col("ingested_date") >= F.to_date(at)).where(
+                F.col("ingested_at") >= at)
+        return rows.drop("ingested_date")
+
+    def raw_of(self, topic: str, dates: Iterable[date], batch_id: int | None = None) -> DataFrame:
+        """Stored events of these partitions, or of one batch in them."""
+        folders = any_of("event_date", dates)
+        if batch_id is not None:
+            folders += f"/ingested_date=*/batch_id={batch_id}"
         return read_table(self.spark, self.path(S.TOPICS[topic].raw_table), S.RAW_TABLES[topic],
-                          "event_date date")
+                          "event_date date, ingested_date date", folders).drop("ingested_date")
 
     def add_raw(self, events: DataFrame, topic: str, batch_id: int, as_of=None,
-                partitions: Partitions | None = None) -> None:
+                dates: Iterable[date] | None = None) -> None:
         """Store normalised events of a batch, except those whose key is stored already.
 
-        The event time is part of the key, so only stored rows of the batch's own time
-        partitions can conflict, and only those are read. They are looked up unless given.
+        The event time is part of the key, so only stored rows of the batch's own time partitions
+        can conflict, and only those are read. Unless given, they are looked up, and the rows are
+        kept meanwhile so that they are computed once.
         """
         spec = S.TOPICS[topic]
         rows = raw_rows(events, topic, as_of).withColumn(
             "event_date", self.partition_of(F.col("event_timestamp")))
-        order = [c for c in ("source_offset", "raw_payload") if c in rows.columns]
-        fresh = first_wins(rows, spec.raw_key, order).drop("source_offset")
-        earlier = self.raw(topic).where(F.col("batch_id") < batch_id)
-        if batch_id:
-            stored = (partitions or Partitions.of(rows)).limit(earlier)
-            fresh = only_new(fresh, stored, spec.raw_key)
-        write_batch(fresh, self.path(spec.raw_table), batch_id, ["event_date"])
+        held = dates is None and bool(batch_id)
+        try:
+            if held:
+                rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+                dates = partition_values(rows, "event_date")
+            order = [c for c in ("source_offset", "raw_payload") if c in rows.columns]
+            fresh = first_wins(rows, spec.raw_key, order).drop("source_offset")
+            if batch_id:
+                earlier = self.raw_of(topic, dates or ()).where(F.col("batch_id") < batch_id)
+                fresh = only_new(fresh, earlier, spec.raw_key)
+            write_batch(fresh.withColumn("ingested_date", F.to_date("ingested_at")),
+                        self.path(spec.raw_table), batch_id, ["event_date", "ingested_date"])
+        finally:
+            if held:
+                rows.unpersist()
 
     # Dead letters: every row stays.
 
-    def dead_letters(self) -> DataFrame:
-        return read_table(self.spark, self.path("dead_letter_events"), S.DEAD_LETTERS,
-                          "failed_date date")
+    def dead_letters(self, since=None, until=None) -> DataFrame:
+        return self._dated("dead_letter_events", S.DEAD_LETTERS, "failed_date", "failed_at", since,
+                           until)
 
     def add_dead_letters(self, rows: DataFrame, batch_id: int) -> None:
         dated = rows.withColumn("failed_date", self.partition_of(F.col("failed_at")))
@@ -135,27 +177,52 @@ class Store:
 
     # Gold: a log of versions, resolved by the mixed conflict rule when read.
 
-    def gold_versions(self) -> DataFrame:
+    def gold_versions(self, since=None, until=None) -> DataFrame:
+        return self._dated("reconciled_order_events", S.GOLD, "event_date", "event_timestamp",
+                           since, until)
+
+    def gold_of(self, dates: Iterable[date], batch_id: int | None = None) -> DataFrame:
+        """Versions in these partitions, or of one batch in them."""
+        folders = any_of("event_date", dates)
+        if batch_id is not None:
+            folders += f"/batch_id={batch_id}"
         return read_table(self.spark, self.path("reconciled_order_events"), S.GOLD,
-                          "event_date date")
+                          "event_date date", folders)
 
-    def gold(self) -> DataFrame:
-        return resolve_gold(self.gold_versions().drop("event_date"))
+    def gold(self, since=None, until=None) -> DataFrame:
+        """One row per order event. The time is part of the key, so limits apply before the
+        versions are resolved."""
+        return resolve_gold(self.gold_versions(since, until).drop("event_date"))
 
     def add_gold(self, rows: DataFrame, batch_id: int) -> None:
         typed = rows.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in S.GOLD.split(", ")])
         dated = typed.withColumn("event_date", self.partition_of(F.col("event_timestamp")))
         write_batch(dated, self.path("reconciled_order_events"), batch_id, ["event_date"])
 
-    def compact_gold(self, target: str) -> None:
-        """Rewrite the resolved table as one batch of a new store folder.
+    def compact_gold(self, scratch: str, dates: Iterable[date] | None = None) -> None:
+        """Make one version of the many in partitions (all unless given), in place.
 
-        Keeps later reads short: a reader switches to the new folder, later batches go on there
-        with higher ids, and the first-write columns stay what they are.
+        The resolved rows go to `scratch`, from there into the folder of the newest batch of their
+        date, and then the older folders are removed. A resolved row keeps the first-write columns of
+        its first version, so at every point between, and after a crash, the table reads the same.
+        The other tables are untouched: later events find their partners as before. No batch may
+        run meanwhile.
         """
-        last = self.gold_versions().agg(F.max("batch_id")).first()[0]
-        if last is not None:
-            Store(self.spark, target, self.grain).add_gold(self.gold(), last)
+        versions = self.gold_versions() if dates is None else self.gold_of(dates)
+        newest = versions.groupBy("event_date").agg(F.max("batch_id").alias("batch_id"),
+                                                    F.min("batch_id").alias("oldest"))
+        whole = resolve_gold(versions.drop("event_date")).withColumn(
+            "event_date", self.partition_of(F.col("event_timestamp")))
+        whole.join(newest.drop("oldest"), "event_date").write.mode("overwrite").parquet(scratch)
+        old = versions.select("event_date", "batch_id").distinct().join(
+            newest.select("event_date", F.col("batch_id").alias("last")), "event_date").where(
+            "batch_id < last").collect()  # a row per folder to remove
+        path = self.path("reconciled_order_events")
+        (self.spark.read.parquet(scratch).hint("rebalance", "event_date").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch_id")
+         .parquet(path))
+        for row in old:
+            remove_folder(self.spark, f"{path}/event_date={row.event_date}/batch_id={row.batch_id}")
 
     # Metrics: one row per batch.
 
@@ -187,9 +254,20 @@ def overwrite_days(summary: DataFrame, path: str, day_column: str = "summary_dat
      .option("partitionOverwriteMode", "dynamic").partitionBy(day_column).parquet(path))
 
 
-def append_checks(results: DataFrame, path: str) -> None:
-    """Check results are few rows per run and only ever added."""
-    results.coalesce(1).write.mode("append").parquet(path)
+def write_checks(results: DataFrame, path: str, run_id: str) -> None:
+    """Check results are few rows per run; a run done again replaces its own."""
+    results.coalesce(1).write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _time_of(limit) -> datetime | None:
+    if isinstance(limit, str):
+        limit = datetime.fromisoformat(limit)
+    return limit if isinstance(limit, datetime) else None
 
 
 def now_counts(spark: SparkSession, batch_id: int, as_of=None, **counts: int) -> DataFrame:

@@ -21,10 +21,9 @@ def archive(events: DataFrame, path: str, batch_id: int,
             time_column: str = "event_timestamp") -> None:
     """Add one batch. The batch has its own folder, so a retry replaces only what it wrote.
 
-    Events without a time cannot be placed in an hour and are left to the dead letter table.
+    Events without a time go to the default partition, which `replay` leaves out.
     """
-    placed = with_hour_columns(events.where(F.col(time_column).isNotNull()), time_column)
-    write_batch(placed, path, batch_id, PARTITIONS)
+    write_batch(with_hour_columns(events, time_column), path, batch_id, PARTITIONS)
 
 
 def replay(spark: SparkSession, path: str, schema: str, start, end,

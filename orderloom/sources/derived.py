@@ -23,22 +23,22 @@ SPREAD_BY = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. One that is read in fewer splits than there are cores is spread over them.
+    """A driver table, the large ones spread by their key.
 
-    A small table comes as a single row group, which would leave all that follows to one core. A
-    table of many splits is not shuffled.
+    They come as a single row group, which would leave all that follows to one core.
     """
     df = use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, SPREAD_BY[name])
-    return df
+    return df.repartition(SPREAD_BY[name]) if name in SPREAD_BY else df
 
 
 def _shift(ts: str, seconds: str) -> Column:
     return F.expr(f"cast(timestampadd(SECOND, cast({seconds} as int), {ts}) as timestamp)")
 
 
+def _plus_micros(ts: Column, micros: Column) -> Column:
+    return F.timestamp_micros(F.unix_micros(ts) + micros)
+
+
 def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
@@ -65,7 +65,7 @@ def payments_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No payment for a seventh of the orders, a second attempt for some of the others."""
     k = F.col("k")
     attempts = F.when(k % 13 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    paid_at = _shift("ordered_at", "(k * 37 + attempt * 29) % 91")
+    paid_at = _plus_micros(_shift("ordered_at", "(k * 37 + attempt * 29) % 91"), k % 3 * 4000)
     return (
         order_times(spark, sf_dir).where(k % 7 != 0)
         .withColumn("attempt", F.explode(attempts))
@@ -86,7 +86,8 @@ def inventory_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     ids = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    moved_at = _shift("ordered_at", "(l_partkey * 13 + l_linenumber) % 120")
+    moved_at = _plus_micros(_shift("ordered_at", "(l_partkey * 13 + l_linenumber) % 120"),
+                            F.col("l_partkey") % 3 * 4000)
     orders = order_times(spark, sf_dir).select("k", "ordered_at")
     return line.join(orders, line.l_orderkey == orders.k).select(
         "k", "l_linenumber", "l_partkey",
@@ -106,14 +107,12 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     reasons = F.array(*[F.lit(r) for r in (
         "INVALID_AMOUNT", "MISSING_SKU", "FUTURE_TIMESTAMP", "UNKNOWN_GATEWAY", "INVALID_JSON")])
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    return (events.where((F.col("event_type") == "error")
-                         & (F.col("ts") < F.lit(EVENTS_AS_OF).cast("timestamp_ntz")))
-            .select(
-                F.element_at(topics, (F.col("user_id") % 3 + 1).cast("int")).alias("source_topic"),
-                F.col("props").alias("raw_payload"),
-                F.element_at(reasons, (F.col("event_id") % 5 + 1).cast("int"))
-                .alias("failure_reason"),
-                F.col("ts").cast("timestamp").alias("failed_at")))
+    reason = F.element_at(reasons, (F.col("event_id") % 5 + 1).cast("int"))
+    return events.select(
+        F.element_at(topics, (F.col("user_id") % 3 + 1).cast("int")).alias("source_topic"),
+        F.col("props").alias("raw_payload"),
+        F.concat_ws(":", reason, "event_type").alias("failure_reason"),
+        F.col("ts").cast("timestamp").alias("failed_at"))
 
 
 def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

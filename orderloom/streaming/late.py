@@ -27,24 +27,27 @@ def is_late(event_time: Column, newest_before: Column, delay: int = WATERMARK_SE
 def newest_before(store: Store, batch_id: int) -> dict[str, int]:
     """Newest event time per topic before this batch, in microseconds: one small row per topic.
 
-    Each batch stores the running maximum, so the folder of the batch before is all that is read;
-    only when that one is absent are all folders looked at.
+    Every batch stores the running maximum, so the folder of the batch before is all that is read.
+    If it is absent although there are batches before, progress was lost, and that is an error.
     """
     path = store.path("progress")
-    before = read_table(store.spark, f"{path}/batch_id={batch_id - 1}", _PROGRESS)
-    if before.isEmpty():
-        before = read_table(store.spark, path, _PROGRESS).where(F.col("batch_id") < batch_id)
+    before = read_table(store.spark, path, _PROGRESS, within=f"batch_id={batch_id - 1}")
+    if before.isEmpty() and batch_id > 0:
+        earlier = read_table(store.spark, path, _PROGRESS).where(F.col("batch_id") < batch_id)
+        if not earlier.isEmpty():
+            raise ValueError(f"progress of batch {batch_id - 1} is missing in {path}")
     rows = before.groupBy("topic").agg(F.max("newest_micros").alias("newest")).collect()
     return {r.topic: r.newest for r in rows if r.newest is not None}
 
 
 def save_progress(store: Store, newest: dict[str, int], batch_id: int) -> None:
-    """One row per topic; made from literals, so no Python worker is needed."""
+    """One row per topic, or an empty one; made from literals, so no Python worker is needed."""
     entries = [F.struct(F.lit(topic).alias("topic"), F.lit(micros).cast("bigint")
                         .alias("newest_micros")) for topic, micros in sorted(newest.items())]
-    if entries:
-        rows = store.spark.range(1, numPartitions=1).select(F.explode(F.array(*entries)).alias("e"))
-        write_batch(rows.select("e.*"), store.path("progress"), batch_id)
+    entries = entries or [F.struct(F.lit(None).cast("string").alias("topic"),
+                                   F.lit(None).cast("bigint").alias("newest_micros"))]
+    rows = store.spark.range(1, numPartitions=1).select(F.explode(F.array(*entries)).alias("e"))
+    write_batch(rows.select("e.*"), store.path("progress"), batch_id)
 
 
 def mark_late(events: DataFrame, topic: str = "topic", batch: str = "batch",
@@ -58,6 +61,6 @@ def mark_late(events: DataFrame, topic: str = "topic", batch: str = "batch",
     earlier = (Window.partitionBy(topic).orderBy(batch)
                .rowsBetween(Window.unboundedPreceding, -1))
     bounds = newest.withColumn("_before", F.max("_newest").over(earlier)).drop("_newest")
-    return (left_join_unique(events, bounds, [topic, batch], event_time)
+    return (left_join_unique(events, bounds, [topic, batch])
             .withColumn("late", is_late(F.col(event_time), F.col("_before"), delay))
             .drop("_before"))

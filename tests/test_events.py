@@ -200,6 +200,6 @@ def test_gateway_gaps(spark):
     first, again = flatten(batch).collect(), flatten(batch).collect()
     assert len(first) == 1 and first == again
     row = first[0]
-    assert row.order_id.startswith("ORD-") and len(row.order_id) == 14
+    assert row.order_id.startswith("ORD-") and len(row.order_id) == 36
     assert (row.amount, row.currency, row.event_timestamp, row.gateway_transaction_id) == (
         None, "", None, None)

@@ -48,6 +48,7 @@ def test_first_row_is_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
-def test_filters_reach_the_scan(spark):
-    text = plan(D.dead_letters(spark, SF))
-    assert "EqualTo(event_type,error)" in text and "LessThan(ts" in text
+def test_each_leg_is_read_once(spark):
+    """The unique side of the unbounded match is a stored table, not a second plan of its input."""
+    text = plan(QUERIES["recon_unbounded"](spark, SF))
+    assert text.count("orders.parquet") <= 2 and text.count("lineitem.parquet") == 0

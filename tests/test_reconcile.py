@@ -105,15 +105,26 @@ def test_unbounded_keeps_early_payment_and_counts_all(spark):
                  ("P2", "PAYMENT_CONFIRMED", at(1000), "O1"),
                  ("P3", "PAYMENT_CANCELLED", at(1), "O2"))
     i = inventory(spark, ("I1", "INVENTORY_RESERVED", at(61), "O1"))
-    for hot_rows in (1, 10 ** 6):  # with and without splitting the order id
-        out = {(r.order_id, r.payment_id, r.inventory_id, r.payment_matches, r.inventory_matches,
-                r.payment_sla_met, r.inventory_sla_met)
-               for r in R.reconcile_unbounded(o, p, i, hot_rows=hot_rows).collect()}
-        assert out == {("O1", "P1", "I1", 2, 1, True, False), ("O1", "P1", "I1", 2, 1, True, True),
-                       ("O2", None, None, 0, 0, False, False)}
-        legs = R.unbounded_legs(o, p, i, hot_rows=hot_rows)
-        assert {(r.leg_id, r.latency_seconds) for r in legs.collect()} == {
-            ("P1", Decimal("-100.00")), ("P2", Decimal("1000.00")), ("I1", Decimal("61.00"))}
+    o = o.unionByName(orders(spark, (None, "ORDER_CREATED", at(0))))  # kept, as every order event
+    out = {(r.order_id, r.payment_id, r.inventory_id, r.payment_matches, r.inventory_matches,
+            r.payment_sla_met, r.inventory_sla_met) for r in R.reconcile_unbounded(o, p, i).collect()}
+    assert out == {("O1", "P1", "I1", 2, 1, True, False), ("O1", "P1", "I1", 2, 1, True, True),
+                   ("O2", None, None, 0, 0, False, False), (None, None, None, 0, 0, False, False)}
+    legs = R.unbounded_legs(o, p, i)
+    assert {(r.leg_id, r.latency_seconds) for r in legs.collect()} == {
+        ("P1", Decimal("-100.00")), ("P2", Decimal("1000.00")), ("I1", Decimal("61.00"))}
+
+
+def test_limits_are_exact_and_of_their_own(spark):
+    o = orders(spark, ("O1", "ORDER_CREATED", "2024-01-15 10:00:00"))
+    p = payments(spark, ("P1", "PAYMENT_CONFIRMED", "2024-01-15 10:01:00.004", "O1"))
+    i = inventory(spark, ("I1", "INVENTORY_RESERVED", "2024-01-15 10:00:50", "O1"))
+    row = R.reconcile(o, p, i, join_window=120).first()
+    assert (row.payment_latency_seconds, row.payment_sla_met, row.inventory_sla_met) == (
+        Decimal("60.00"), False, True)
+    row = R.reconcile(o, p, i, join_window=120, sla=61, inventory_sla=45).first()
+    assert (row.payment_sla_met, row.inventory_sla_met) == (True, False)
+    assert not R.reconcile_unbounded(o, p, i).first().payment_sla_met
 
 
 def test_matched_and_unmatched_split_all_rows(spark):

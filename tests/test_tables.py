@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 from types import SimpleNamespace
 
@@ -10,8 +10,8 @@ from orderloom import schemas as S
 from orderloom.operators.keyed import first_wins, last_wins, resolve_versions
 from orderloom.plans.summary import hourly_sla_summary
 from orderloom.session import work_dir
-from orderloom.sinks.tables import (MAX_LISTED_DATES, Partitions, Store, append_checks,
-                                    now_counts, overwrite_days, read_table)
+from orderloom.sinks.tables import (Store, any_of, now_counts, overwrite_days, read_table,
+                                    write_checks)
 from orderloom.sources.archive import archive, replay
 
 FIELDS = ("order_id string, event_type string, ts string, customer_id string, "
@@ -38,8 +38,13 @@ def test_first_row_of_a_key_stays(spark, tmp_path):
     for _ in range(2):  # a retry changes nothing
         store.add_raw(second, S.ORDERS_TOPIC, 1)
         assert stored(store) == {("A", 1.0, 0), ("B", 0.0, 0), ("A", 3.0, 1)}
-    store.add_raw(second, S.ORDERS_TOPIC, 2, partitions=Partitions(None))  # whole table read
+    days = [date(2024, 1, 14), date(2024, 1, 15)]
+    store.add_raw(second, S.ORDERS_TOPIC, 2, dates=days)
     assert len(stored(store)) == 3
+    assert {r.order_id for r in store.raw_of(S.ORDERS_TOPIC, days[1:], 0).collect()} == {"B"}
+    assert store.raw_of(S.ORDERS_TOPIC, []).count() == 0
+    assert store.raw(S.ORDERS_TOPIC, ingested_since="2100-01-01").count() == 0
+    assert store.raw(S.ORDERS_TOPIC, ingested_since="2020-01-01").count() == 3
 
 
 def test_rows_without_full_key_are_left_out(spark, tmp_path):
@@ -86,22 +91,55 @@ def test_gold_upsert_retry_and_compaction(spark, tmp_path):
         store.add_gold(gold_row(spark, "A", ts, "C2", "P1"), 1)
     row = store.gold().collect()
     assert [(r.customer_id, r.payment_id) for r in row] == [("C1", "P1")]
-    store.compact_gold(str(tmp_path / "b"))
-    smaller = Store(spark, str(tmp_path / "b"))
-    smaller.add_gold(gold_row(spark, "A", ts, "C3", None), 2)
-    assert [(r.customer_id, r.payment_id) for r in smaller.gold().collect()] == [("C1", None)]
+    store.compact_gold(str(tmp_path / "scratch"))
+    assert store.gold_versions().count() == 1
+    assert [(r.customer_id, r.payment_id) for r in store.gold().collect()] == [("C1", "P1")]
+    store.add_gold(gold_row(spark, "A", ts, "C3", None), 2)
+    assert [(r.customer_id, r.payment_id) for r in store.gold().collect()] == [("C1", None)]
+
+
+def partition_filters(df):
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.partitionFilters().mkString(), leaf.relation().location().rootPaths().size()
+
+
+def test_readers_list_only_their_dates(spark, tmp_path):
+    """Batches outside the range add no folder to what is listed."""
+    store = Store(spark, str(tmp_path))
+    seen = set()
+    for batch in range(6):
+        store.add_gold(gold_row(spark, f"O{batch}", f"2024-01-{10 + batch} 10:00:00", "C", None), batch)
+        rows = store.gold(datetime(2024, 1, 9), datetime(2024, 1, 11))
+        versions = store.gold_versions(datetime(2024, 1, 9), datetime(2024, 1, 11))
+        seen.add((rows.count(), len(versions.inputFiles()), partition_filters(versions)[1]))
+    assert seen == {(1, 1, 1)}
+    open_end = store.gold_versions(since="2024-01-13 12:00:00")
+    assert "event_date" in partition_filters(open_end)[0]
+    assert {r.order_id for r in open_end.collect()} == {"O4", "O5"}
+    assert store.gold(datetime(2023, 1, 1), datetime(2023, 2, 1)).count() == 0
+
+
+def test_many_batch_folders(spark, tmp_path):
+    """500 batches of other days: the listed folder is still the one of the day."""
+    store = Store(spark, str(tmp_path))
+    rows = spark.range(500).select(
+        F.concat(F.lit("O"), "id").alias("order_id"),
+        (F.lit("2020-01-01").cast("timestamp") + F.make_dt_interval(F.col("id").cast("int"))).alias(
+            "event_timestamp"), F.col("id").alias("batch_id"))
+    (rows.withColumn("event_date", F.to_date("event_timestamp")).repartition(4).write.partitionBy(
+        "event_date", "batch_id").parquet(store.path("reconciled_order_events")))
+    day = store.gold_versions(datetime(2020, 3, 1), datetime(2020, 3, 1, 23))
+    assert (day.count(), len(day.inputFiles()), partition_filters(day)[1]) == (1, 1, 1)
 
 
 def test_partitions(spark):
-    days = spark.sql("SELECT explode(sequence(date'2024-01-01', date'2024-01-03')) AS event_date")
-    few = Partitions.of(days)
-    assert few.dates == {date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)}
-    many = spark.range(MAX_LISTED_DATES + 1).select(
-        F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("event_date"))
-    assert Partitions.of(many).dates is None
-    assert Partitions(None).limit(days).count() == 3
-    assert Partitions.from_list([]).limit(days).count() == 0
-    assert (few | Partitions(None)).dates is None
+    assert any_of("d", [date(2024, 1, 2), date(2024, 1, 1)]) == "d={2024-01-01,2024-01-02}"
+    low, high = datetime(2023, 12, 31, 23), datetime(2024, 2, 1)
+    month = Store(spark, "unused", "month").partitions_between(low, high)
+    assert month == [date(2023, 12, 1), date(2024, 1, 1), date(2024, 2, 1)]
+    assert Store(spark, "unused", "year").partitions_between(low, high) == [
+        date(2023, 1, 1), date(2024, 1, 1)]
+    assert len(Store(spark, "unused").partitions_between(low, high)) == 33
 
 
 @pytest.mark.parametrize("grain,expected", [
@@ -127,6 +165,9 @@ def test_archive_prunes_folders_and_survives_a_retry(spark, tmp_path):
     scan = out._jdf.queryExecution().executedPlan().collectLeaves().head()
     assert "make_timestamp(year" in scan.partitionFilters().mkString()
     assert replay(spark, path, schema, "2024-01-31", "2024-03-01").count() == 8
+    archive(df.withColumn("event_timestamp", F.lit(None).cast("timestamp")).limit(2), path, 1)
+    assert replay(spark, path, schema, "2024-01-31", "2024-03-01").count() == 8
+    assert read_table(spark, path, schema, "year int, month int, day int, hour int").count() == 10
 
 
 def test_summary_days_are_replaced(spark, tmp_path):
@@ -148,24 +189,20 @@ def test_metrics_rate(spark, tmp_path):
     assert rates == {0: Decimal("0.3333"), 1: Decimal("0.0000")}
 
 
-def session_with(master, shared):
-    """As much of a session as work_dir looks at; the real setting is fixed at start."""
-    settings = SimpleNamespace(get=lambda name, default=None: shared)
-    context = SimpleNamespace(master=master, getConf=lambda: settings)
-    return SimpleNamespace(conf=settings, sparkContext=context)
-
-
 def test_work_dir_follows_the_session(tmp_path):
-    assert work_dir(session_with("yarn", str(tmp_path)), "x").startswith(f"{tmp_path}/x-")
-    assert work_dir(session_with("local[2]", str(tmp_path)), "x").startswith(f"{tmp_path}/x-")
-    with pytest.raises(ValueError):
-        work_dir(session_with("yarn", None), "x")
+    def session(**settings):
+        get = SimpleNamespace(get=lambda name, default=None: settings.get(name, default))
+        return SimpleNamespace(conf=get, sparkContext=SimpleNamespace(getConf=lambda: get))
 
+    shared = session(**{"spark.checkpoint.dir": "hdfs://x/y/", "spark.sql.warehouse.dir": "w"})
+    assert work_dir(shared, "x").startswith("hdfs://x/y/x-")
+    assert work_dir(session(**{"spark.sql.warehouse.dir": "s3a://w"}), "x").startswith("s3a://w/_work/x-")
 
-def test_append_checks(spark, tmp_path):
+
+def test_checks_of_a_run_are_replaced(spark, tmp_path):
     row = spark.range(1).select(*[F.lit(None).cast(c.split()[1]).alias(c.split()[0])
                                   for c in S.CHECK_RESULTS.split(", ")])
-    for _ in range(2):
-        append_checks(row, str(tmp_path))
+    for run in ("a", "a", "b"):
+        write_checks(row, str(tmp_path), run)
     assert spark.read.schema(S.CHECK_RESULTS).parquet(str(tmp_path)).count() == 2
     assert read_table(spark, str(tmp_path / "none"), S.CHECK_RESULTS).count() == 0
