@@ -49,6 +49,8 @@ class Template:
 
 
 TEMPLATE = Template()
+#: The state after a role that has no move.
+FAULT = ""
 
 
 def escaped(text: Column, t: Template) -> Column:
@@ -78,16 +80,17 @@ def chat_segments(turns: DataFrame, template: Template = TEMPLATE) -> DataFrame:
         F.struct(F.lit(t.end).alias("text"), F.lit(False).alias("loss")))))
     moves = F.create_map(*[F.lit(x) for state, role, to in t.moves
                            for x in (f"{state} {role}", to)])
-    # The fold keeps the state and the number of turns accepted; a missing move stops it for good.
+    # The fold keeps the state and the number of turns read; a missing move stops it for good.
     run = F.aggregate(
         "turns", F.struct(F.lit("begin").alias("state"), F.lit(0).alias("n")),
-        lambda at, x: F.when(at["state"].isNull(), at).otherwise(
-            F.struct(F.try_element_at(moves, F.concat(at["state"], F.lit(" "), x["role"])).alias(
-                "state"), (at["n"] + 1).alias("n"))))
+        lambda at, x: F.when(at["state"] == FAULT, at).otherwise(
+            F.struct(F.coalesce(F.try_element_at(moves, F.concat(
+                at["state"], F.lit(" "), x["role"])), F.lit(FAULT)).alias("state"),
+                (at["n"] + 1).alias("n"))))
     return whole.withColumn("_run", run).select(
         "conv_id", segments.alias("segments"),
-        F.coalesce(F.col("_run.state").isin(list(t.final)), F.lit(False)).alias("valid"),
-        F.when(F.col("_run.state").isNull(), F.col("_run.n") - 1).alias("first_fault"))
+        F.col("_run.state").isin(list(t.final)).alias("valid"),
+        F.when(F.col("_run.state") == FAULT, F.col("_run.n") - 1).alias("first_fault"))
 
 
 def formatted(segments: DataFrame) -> DataFrame:
