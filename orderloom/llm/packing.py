@@ -148,6 +148,13 @@ def grouped(large: list[tuple[int, int]], cap: int, groups: int) -> tuple[list[R
             take = min(n, room)
             queues[-1].append([length, take])
             n, room = n - take, room - take
+    merged = [queues[0]]
+    for queue in queues[1:]:  # groups of one rounded size are one
+        if queue[0][0] == merged[-1][0][0]:
+            merged[-1] += queue
+        else:
+            merged.append(queue)
+    queues = merged
     sizes = [q[0][0] for q in queues]
     counts = [sum(n for _, n in q) for q in queues]
     runs = []
