@@ -663,27 +663,19 @@ def stream_reconcile(spark, sf):
 
 @query
 def stream_hourly_sla(spark, sf):
+    """Some orders come in without their payment first, and again with it."""
     root = work_dir(spark, "hourly")
     gold = gold_of(spark, sf)
-    year = F.year("event_timestamp")
-    slices = [{f"{root}/in": gold.where(c)} for c in (year < 1998, year >= 1998)]
-
-    def run():
-        stream = spark.readStream.schema(gold.schema).parquet(f"{root}/in")
-        return streams.each_batch(streams.hourly_sla_stream(stream),
-                                  streams.to_table(f"{root}/out"), f"{root}/cp", mode="update")
-
-    play(spark, slices, run)
-    versions = read_table(
-        spark, f"{root}/out",
-        "summary_date date, hour int, total_orders bigint, payment_sla_met bigint, "
-        f"payment_sla_rate {_rate_type(gold)}, inventory_sla_met bigint, "
-        f"inventory_sla_rate {_rate_type(gold)}")
-    return keyed.last_wins(versions, ["summary_date", "hour"], ["batch_id"]).drop("batch_id")
-
-
-def _rate_type(gold: DataFrame) -> str:
-    return summary.hourly_sla(gold).schema["payment_sla_rate"].dataType.simpleString()
+    early, again = F.year("event_timestamp") < 1998, F.crc32("order_id") % 4 == 0
+    unpaid = gold.withColumns({
+        "payment_sla_met": F.col("payment_sla_met") & ~again,
+        "payment_id": F.when(~again, F.col("payment_id"))})
+    slices = [{f"{root}/in": unpaid.where(early)}, {f"{root}/in": gold.where(~early | again)}]
+    write = streams.keep_hourly_sla(store_of(spark, f"{root}/tables"), f"{root}/out")
+    play(spark, slices, lambda: streams.each_batch(
+        spark.readStream.schema(gold.schema).parquet(f"{root}/in"), write, f"{root}/cp"))
+    kinds = summary.hourly_sla(gold).schema
+    return spark.read.schema(kinds).parquet(f"{root}/out").select(*kinds.names)
 
 
 @query
