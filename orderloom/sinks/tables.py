@@ -107,7 +107,7 @@ class Store:
         kinds = f"{column} date{between}"
         low, high = _time_of(since), _time_of(until)
         if low and high:
-            dates = self.partitions_between(low, high)
+            dates = self.partitions_between(low, high - timedelta(microseconds=1))
             rows = read_table(self.spark, self.path(name), schema, kinds, any_of(column, dates))
         else:
             rows = read_table(self.spark, self.path(name), schema, kinds)
