@@ -109,7 +109,7 @@ def set_links(sets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
         F.min("uid").alias("pivot"), F.max("uid").alias("_last")).where("pivot <> _last").select(
         F.col("part").alias("list"), "pivot"), "lists")
     shared = written(entries.join(lists, F.col("part") == F.col("list")).select(
-        "list", "pivot", "uid", "n").distinct(), "entries")
+        "list", "pivot", "uid", "n"), "entries")
     there = shared.select("uid").distinct().join(
         sets.select("uid", "doc_id", "k_hash", "bits", "n"), "uid")
     there = written(there, "candidates")
