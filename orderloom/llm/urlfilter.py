@@ -2,7 +2,8 @@
 
 Every rule is a glob over the canonical URL `.host/path?query`: `*` is any run without `/`, `**` any
 run, `?` one character but `/`. The leading point makes `*.example.org/**` fit the host itself and
-all its subdomains. All globs are packed side by side into masks of as many 64-bit words as they
+all its subdomains. With an empty path nothing parts host and query, so the leading run of a host
+rule stops at `?` as well; in any other glob a `*` may go on into such a query. All globs are packed side by side into masks of as many 64-bit words as they
 need. A step of the Shift-And automaton reads one character of each URL of a batch and moves all
 states of all globs at once, with self-loops for the wildcards:
 
@@ -42,6 +43,8 @@ class Rule:
     verdict: str
     name: str | None = None
     rank: int = 0
+    #: Whether the leading `*` stays in the host.
+    host: bool = False
 
 
 def host_rule(verdict: str, name: str) -> Rule:
@@ -50,7 +53,7 @@ def host_rule(verdict: str, name: str) -> Rule:
     Any host rule outranks any other glob; among themselves, the longest wins.
     """
     literal = re.sub("([*?\\\\])", "\\\\\\1", name)
-    return Rule(f"*.{literal}**", verdict, name, 1_000_000 + len(name))
+    return Rule(f"*.{literal}**", verdict, name, 1_000_000 + len(name), host=True)
 
 
 def parts_of(url: str | None) -> tuple[str, str, str]:
@@ -62,7 +65,7 @@ def parts_of(url: str | None) -> tuple[str, str, str]:
 
 
 def tokens(glob: str) -> list[Token]:
-    """("char", c), ("one", "") and ("run", "/" or ""): the run's excluded character."""
+    """("char", c), ("one", "") and ("run", "/" or ""): the run's excluded characters."""
     found: list[Token] = []
     at = 0
     while at < len(glob):
@@ -85,7 +88,10 @@ class Automaton:
     def __init__(self, rules: tuple[Rule, ...]):
         self.rules = sorted(rules, key=lambda r: -r.rank)
         parsed = [tokens(r.glob) for r in self.rules]
-        alphabet = sorted({c for ts in parsed for kind, c in ts if kind == "char"} | {"/"})
+        for rule, ts in zip(self.rules, parsed, strict=True):
+            if rule.host and ts[:1] == [("run", "/")]:
+                ts[0] = ("run", "/?")
+        alphabet = sorted({c for ts in parsed for kind, c in ts if kind == "char"} | {"/", "?"})
         #: Class 0 is every character that no rule names.
         self.letters = np.array([ord(c) for c in alphabet], "u4")
         size = sum(1 + sum(kind != "run" for kind, _ in ts) for ts in parsed)
@@ -100,8 +106,8 @@ class Automaton:
             for kind, c in ts:
                 if kind == "run":  # the state before the run stays while the run goes on
                     loops[:, state] = True
-                    if c == "/" and not self._any_run(ts, state, start):
-                        loops[slash, state] = False
+                    if c and not self._any_run(ts, state, start):
+                        loops[[alphabet.index(x) + 1 for x in c], state] = False
                 else:
                     state += 1
                     if kind == "char":

@@ -212,6 +212,19 @@ def test_contract_rules(spark):
     assert urlfilter.url_filter(df.limit(0), urlfilter.RULES).count() == 0
 
 
+@pytest.mark.parametrize("url, rule, verdict", [
+    ("http://foo.com?site=bar.net/x", None, "allow"), ("http://foo.com?u=x.example.net/en/", None, "allow"),
+    ("http://foo.com?.example.com/de/", None, "allow"), ("http://foo.com?u=a.org/fr/", None, "allow"),
+    ("http://foo.net?u=a.org/fr/", None, "allow"), ("http://foo.net/?u=a.org/fr/", "net/", "block"),
+    ("http://foo.com?u=a.net/cart/x", None, "block"),
+    # A plain glob is judged over the whole string, as in the SQL.
+    ("http://foo.com?u=a.doubleclick.net/x", None, "block")])
+def test_host_rules_do_not_fit_queries(spark, url, rule, verdict):
+    df = spark.createDataFrame([(1, url)], "page_id bigint, url string")
+    row = urlfilter.url_filter(df, urlfilter.RULES).first()
+    assert (row.rule, row.verdict) == (rule, verdict)
+
+
 # chat -------------------------------------------------------------------------------------------
 
 TEXTS = [None, "", "plain", chat.HOSTILE, "back\\slash", "<\\|", "\\", "<|", "<", "|", "a\nb",
