@@ -1,4 +1,7 @@
-"""Operator 3: passages of lines that repeat, found by winnowing over line hashes.
+"""Passages of whole lines that repeat, found by winnowing over line hashes.
+
+Lines are deleted whole or not at all: a passage that starts or ends inside a line, whose other words
+differ, is not found here. `passages.py`, which the queries use, finds it.
 
 A document is the sequence of its lines that have words. A *run* from a line is the shortest stretch
 of lines from it with at least `min_words` words; a *gram* is the same with half as many. In each
@@ -25,7 +28,7 @@ an empty text. Other columns pass through `edited` whatever their names.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -194,15 +197,21 @@ def edited(docs: DataFrame, min_words: int = MIN_WORDS, result: str = "line_dedu
 
     `removed` lists runs of line numbers (from 0, both ends included) of the text as it was.
     """
+    return applied(docs, later_runs(docs, min_words), edit, result, EDIT)
+
+
+def applied(docs: DataFrame, matches: DataFrame, edit: Callable[[str | None, list[dict] | None], tuple],
+            result: str, kind: T.StructType) -> DataFrame:
+    """All columns of `docs`; text and the struct `result` as `edit` makes them from text and matches."""
     names = docs.columns
     k_id, k_hash, found = (fresh(n, names) for n in ("_k_id", "_k_hash", "_matches"))
-    matches = later_runs(docs, min_words).select(
+    matches = matches.select(
         F.col("k_id").alias("_m_id"), F.col("k_hash").alias("_m_hash"),
         F.col("matches").alias(found))
     joined = docs.select("*", F.coalesce("doc_id", F.lit(LAST_ID)).alias(k_id),
                          F.xxhash64("text").alias(k_hash)).join(
         matches, (F.col(k_id) == F.col("_m_id")) & (F.col(k_hash) == F.col("_m_hash")), "left")
-    schema = T.StructType([*docs.schema.fields, T.StructField(result, EDIT)])
+    schema = T.StructType([*docs.schema.fields, T.StructField(result, kind)])
     fields = arrow_schema(schema)
     ship(docs.sparkSession)
 
@@ -213,7 +222,7 @@ def edited(docs: DataFrame, min_words: int = MIN_WORDS, result: str = "line_dedu
                 for text, own in zip(part["text"], part[found], strict=True):
                     new, *note = edit(text, own)
                     texts.append(new)
-                    notes.append(dict(zip(EDIT.names, note, strict=True)))
+                    notes.append(dict(zip(kind.names, note, strict=True)))
             made = [pa.array(texts, f.type) if f.name == "text" else pa.array(notes, f.type)
                     if f.name == result else batch.column(f.name) for f in fields]
             yield pa.RecordBatch.from_arrays(made, schema=fields)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import (chat, credentials, decontaminate, language, linededup, packing, quality,
+from orderloom.llm import (chat, credentials, decontaminate, language, packing, passages, quality,
                            setjoin, tokenbin, urlfilter)
 from orderloom.llm.common import documents
 
@@ -27,8 +27,8 @@ def op2_token_planes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return linededup.dedup_lines(documents(spark, sf)).select(
-        "doc_id", "n_lines", "n_removed_lines", "n_removed_words", "removed",
+    return passages.dedup_passages(documents(spark, sf)).select(
+        "doc_id", "n_lines", "n_removed_lines", "n_cut_lines", "n_removed_words", "removed", "cut",
         F.sha2("text", 256).alias("text_sha256"))
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from orderloom.llm import components, crf, language, linededup, setjoin, shingles
+from orderloom.llm import components, crf, language, linededup, passages, setjoin, shingles
 
 SF = "/root/testdata/sf0.001"
 
@@ -93,6 +93,81 @@ def test_line_dedup_of_awkward_rows(spark):
     assert linededup.dedup_lines(df.limit(0)).count() == 0
 
 
+# passages ---------------------------------------------------------------------------------------
+
+def plain_kept(docs, least):
+    """Lines of kept words: a word goes with any window that stood before without overlap."""
+    first, kept = {}, {}
+    for d, text in sorted(docs):
+        lines = [re.findall("[^\x20\x09-\x0D]+", x) for x in text.split("\n")]
+        words = [w for x in lines for w in x]
+        gone = set()
+        for i in range(len(words) - least + 1):
+            fd, fi = first.setdefault(tuple(words[i:i + least]), (d, i))
+            if fd != d or i >= fi + least:
+                gone |= set(range(i, i + least))
+        at, kept[d] = 0, []
+        for x in lines:
+            left = [w for i, w in enumerate(x, at) if i not in gone]
+            at += len(x)
+            if left or not x:
+                kept[d].append(left)
+    return kept
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_passages_equal_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    docs = []
+    for d in range(60):
+        words = [rnd.choice("abé") if rnd.random() < 0.1 else f"w{rnd.randrange(1000)}"
+                 for _ in range(rnd.randint(0, 80))]
+        for _ in range(rnd.randint(0, 3)):
+            if docs:
+                other = rnd.choice(docs)[1].split()
+                i = rnd.randint(0, len(other))
+                at = rnd.randint(0, len(words))
+                words[at:at] = other[i:i + rnd.choice([10, 19, 20, 21, 50, 51, 200])]
+        if rnd.random() < 0.2:
+            words += rnd.choice([["x"], ["x", "y", "z"]]) * rnd.randint(10, 80)
+        docs.append((d, "".join(w + rnd.choice([" "] * 12 + ["\n", "  ", "\n\n"]) for w in words)))
+    least = (50, 20, 7)[seed - 1]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    want = plain_kept(docs, least)
+    rows = {r.doc_id: r for r in passages.dedup_passages(df, least).collect()}
+    for d, text in docs:
+        assert [x.split() for x in rows[d].text.split("\n")] == (want[d] or [[]]), d
+        assert rows[d].n_removed_words == len(text.split()) - sum(map(len, want[d]))
+    assert sum(r.n_cut_lines for r in rows.values()) > 5
+
+
+def test_passage_inside_lines_is_cut(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    more = " ".join(f"q{i}" for i in range(40))
+    rows = [(1, f"one {passage} end"), (2, f"two  three {passage}  four\n five"), (3, f"six {passage} {more} a"),
+            (4, f"b\n{passage} {more} c"), (5, f"d {passage} \n\n{passage}")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r for r in passages.dedup_passages(df).collect()}
+    assert [found[d].text for d in range(1, 6)] == [
+        rows[0][1], "two  three four\n five", f"six {more} a", "b\nc", "d\n"]
+    assert (found[2].cut, found[2].removed, found[5].cut, found[5].removed) == ("0:2-61", "", "0:1-60", "2-2")
+    assert (found[4].n_removed_words, found[5].n_removed_lines, found[5].n_cut_lines) == (100, 1, 1)
+
+
+def test_passages_of_awkward_rows(spark):
+    passage = "\n".join(f"{x} " * 20 + "end." for x in "abcd")
+    rows = [(1, passage), (1, passage), (2, None), (3, ""), (None, passage), (7, f"own line\n{passage}"),
+            (9, "w " * 5_000), (10, "x" * 9_000 + " " + "é" * 9_000)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows],
+                               "doc_id bigint, text string, _matches string, line_dedup int")
+    made = passages.without_repeats(df)
+    assert made.columns == df.columns
+    found = sorted(((r.doc_id, r.text) for r in made.collect()), key=repr)
+    assert found == sorted([(1, passage), (1, passage), (2, None), (3, ""), (7, "own line"),
+                            (9, " ".join("w" * 50)), rows[7]], key=repr)
+    assert passages.dedup_passages(df.limit(0)).count() == 0
+
+
 # set join ---------------------------------------------------------------------------------------
 
 def plain_set(text, k):
