@@ -31,10 +31,11 @@ ACCESS = re.compile("AKIA[A-Z0-9]{16,}")
 #: Runs are as long as they can be, so a run of 24 or more is never part of a shorter match.
 HEX = re.compile("[0-9a-f]{24,}")
 #: Weak candidates. A key string has both cases and a digit, and stands between other characters.
-KEY_STRING = re.compile("(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,64}={0,2}(?![A-Za-z0-9+/=_-])")
+KEY_STRING = re.compile("(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/=_-])")
+SERVICES = ("s3", "sqs", "sns", "ec2", "rds", "dynamodb")
 ENDPOINT = re.compile(
     "\\b(?:https?|amqps?|redis|mongodb|postgres(?:ql)?|mysql|s3)://[A-Za-z0-9.-]+(?::[0-9]{2,5})?"
-    "|\\b[a-z0-9-]+\\.(?:s3|sqs|sns|ec2|rds|dynamodb)\\.[a-z0-9.-]+", re.ASCII)
+    f"|\\b[a-z0-9-]+\\.(?:{'|'.join(SERVICES)})\\.[a-z0-9.-]+", re.ASCII)
 ACCOUNT = re.compile("(?<![0-9A-Za-z])[0-9]{12}(?![0-9A-Za-z])")
 KINDS = ("assign", "access", "hex", "key", "endpoint", "account")
 #: What completes a weak candidate: one of these kinds in its scope.
@@ -64,7 +65,7 @@ def weak_spans(text: str, base: list[Span]) -> list[Span]:
     """Candidates that overlap no base span."""
     found = [(*m.span(), "key") for m in KEY_STRING.finditer(text)
              if re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[0-9]", m[0])]
-    if "://" in text or ".s3." in text or ".amazonaws" in text:
+    if "://" in text or any(f".{s}." in text for s in SERVICES):
         found += [(*m.span(), "endpoint") for m in ENDPOINT.finditer(text)]
     found += [(*m.span(), "account") for m in ACCOUNT.finditer(text)]
     ends = []  # furthest end of the base spans up to each

@@ -151,6 +151,16 @@ def test_weak_parts_need_each_other(text, kinds):
     assert [s.split(":")[0] for s in spans.split(",") if s] == kinds
 
 
+@pytest.mark.parametrize("text, kinds", [
+    *[(f"id {ID} at main.{s}.internal", ["access", "endpoint"])
+      for s in ("s3", "sqs", "sns", "ec2", "rds", "dynamodb")],
+    (f"id {ID} and {'aB3+' * 21}Zz==", ["access", "key"]), (f"id {ID} and {'aB3+' * 500}", ["access", "key"]),
+    (f"id {ID} and {'aB3+' * 21}===", ["access"])])
+def test_endpoints_of_all_services_and_long_keys(text, kinds):
+    spans = credentials.judge(text)[4]
+    assert [s.split(":")[0] for s in spans.split(",") if s] == kinds
+
+
 def test_many_candidates_are_not_paired_up():
     text = f"{ID} " * 3000 + f"{KEY} " * 3000
     made = credentials.judge(text, reach=10 ** 9)
