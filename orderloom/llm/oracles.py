@@ -149,10 +149,72 @@ SELECT page_id, host, path, rule, CASE
   ELSE 'allow' END AS verdict
 FROM r"""
 
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws
+  FROM (SELECT lang, unnest(regexp_split_to_array({LOWERED}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM pieces GROUP BY lang),
+f AS (
+  SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i
+        FROM pieces, (SELECT unnest(range(1, 6)) AS m) WHERE len(ws) >= m)
+  GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+cut AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS first,
+    array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
+scored AS (
+  SELECT cut.lang, cut.phrase, a, l.f AS l, r.f AS r, n, k,
+    (1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS score
+  FROM cut JOIN total USING (lang) JOIN f l ON l.lang = cut.lang AND l.phrase = first
+    JOIN f r ON r.lang = cut.lang AND r.phrase = rest),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(f) AS more
+  FROM (SELECT *, unnest(range(1, m - s + 2)) AS i
+        FROM c, (SELECT unnest(range(2, 5)) AS s) WHERE s < m) GROUP BY ALL)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT lang, phrase, a, l, r, n, score::BIGINT AS score, row_number() OVER (
+    PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE more IS NULL OR 100 * more < 100 * a)
+WHERE rank <= 2000"""
+
+TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+SEARCH = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{TERMS}') AS ws FROM documents),
+s AS (SELECT count(*) FILTER (len(ws) > 0) AS docs, sum(len(ws))::BIGINT AS words FROM d),
+tf AS (
+  SELECT doc_id, t, n, count(*) AS tf
+  FROM (SELECT doc_id, len(ws) AS n, unnest(ws) AS t FROM d) GROUP BY ALL),
+w AS (
+  SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, s GROUP BY t, docs),
+q AS (
+  SELECT item_id, t, count(*) AS repeats
+  FROM (SELECT item_id, unnest(regexp_extract_all({LOWERED}, '{TERMS}')) AS t FROM benchmark) GROUP BY ALL),
+scored AS (
+  SELECT item_id, doc_id, sum(repeats * w * ((1000000000 * tf) // (
+    1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words))))::BIGINT AS score
+  FROM q JOIN w USING (t) JOIN tf USING (t), s GROUP BY item_id, doc_id)
+SELECT * FROM (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank,
+    doc_id, score FROM scored WHERE score > 0)
+WHERE rank <= 10"""
+
+COPIES = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+  doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": QUALITY,
     "op4_jaccard_join": JACCARD,
     "op5_chat_format": CHAT,
     "op6_decontaminate": DECONTAMINATE,
     "op8_url_filter": URLS,
+    "op11_collocations": COLLOCATIONS,
+    "op12_lexical_search": SEARCH,
+    "op13_exact_dedup": COPIES,
 }

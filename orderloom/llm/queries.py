@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import (chat, credentials, decontaminate, language, packing, passages, quality,
-                           setjoin, tokenbin, urlfilter)
+from orderloom.llm import (chat, collocations, credentials, decontaminate, exactdedup, language, lexical,
+                           packing, passages, quality, setjoin, tokenbin, urlfilter)
 from orderloom.llm.common import documents
 
 
@@ -68,7 +68,20 @@ def op10_pack(spark: SparkSession, sf: str) -> DataFrame:
     return packing.packed_digest(documents(spark, sf), tokenizer("byte_bpe_50k.json"))
 
 
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf))
+
+
+def op12_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.ranked(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exactdedup.dedup_exact(documents(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_token_planes, op3_line_dedup, op4_jaccard_join, op5_chat_format,
-        op6_decontaminate, op7_credentials, op8_url_filter, op9_language, op10_pack)}
+        op6_decontaminate, op7_credentials, op8_url_filter, op9_language, op10_pack,
+        op11_collocations, op12_lexical_search, op13_exact_dedup)}
