@@ -6,7 +6,7 @@ shards: a phrase with the global support must have that much in at least one of
 locally frequent phrases, less those that cannot reach the support even if they fell just short of it
 in every other shard, goes into a bit table of their hashes. Second pass: all occurrences of the
 phrases in that table are counted over all texts, exactly and by the words themselves; the counts
-of a task's share of text are combined before the shuffle. A phrase that shares its bit with another
+of a task's share of text are combined before the shuffle. A phrase that finds its bits set by others
 costs a row more and changes nothing: what lacks the support falls out after counting.
 
 A shard holds up to `LARGE_SHARD` bytes, so with support s the local support of a language falls to one
@@ -40,8 +40,9 @@ _FOLD = bytes(ord(".") if chr(c) in ".,;:!?\n\v\f\r" else c + 32 if 65 <= c <= 9
 SMALL_SHARD, LARGE_SHARD, SHARDS = 2_000_000, 96_000_000, 16
 #: Words that a task of the second pass counts at once, and positions of a chunk of a level.
 WORDS_AT_ONCE, CHUNK = 2_000_000, 2_000_000
-#: Bits of the table for each locally frequent phrase, and of the whole table at most.
-BITS_EACH, MOST_BITS = 16, 1 << 29
+#: Bits of the table for each locally frequent phrase at least, of which PROBES are set, and bits of the
+#: whole table at most.
+BITS_EACH, PROBES, MOST_BITS = 16, 4, 1 << 29
 PART_BITS = 1 << 22
 _A = np.uint64(0x9E3779B97F4A7C15)
 LOCAL = columns("lang string, shards bigint, hash bigint, n bigint")
@@ -170,7 +171,7 @@ def locally_frequent(texts: DataFrame, support: int, longest: int) -> DataFrame:
 
 
 def bit_table(hashes: DataFrame) -> np.ndarray:
-    """One bit for each hash, by its lowest bits; parts of the table are made by the tasks."""
+    """PROBES bits set for each hash; parts of the table are made by the tasks."""
     wanted = BITS_EACH * hashes.count()
     bits = min(MOST_BITS, max(PART_BITS, 1 << wanted.bit_length()))
 
@@ -180,8 +181,10 @@ def bit_table(hashes: DataFrame) -> np.ndarray:
         return pa.table({"part": [table.column("part")[0].as_py()],
                          "bits": [np.packbits(made, bitorder="little").tobytes()]})
 
-    cell = F.col("hash").bitwiseAND(F.lit(bits - 1)).alias("cell")
-    parts = hashes.select(cell).distinct().withColumn(
+    step = F.shiftrightunsigned("hash", 32).bitwiseOR(F.lit(1))  # as in `probes`
+    cells = F.explode(F.array(*[(F.col("hash").bitwiseAND(F.lit(MOST_BITS - 1)) + i * step).bitwiseAND(
+        F.lit(bits - 1)) for i in range(PROBES)])).alias("cell")
+    parts = hashes.select(cells).distinct().withColumn(
         "part", F.shiftright("cell", PART_BITS.bit_length() - 1)).groupBy("part").applyInArrow(
         part, columns("part bigint, bits binary"))
     whole = np.zeros(bits // 8, "u1")
@@ -191,6 +194,13 @@ def bit_table(hashes: DataFrame) -> np.ndarray:
     return whole
 
 
+def probes(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """The cells of each hash in a table of so many bits, one array after the other."""
+    step = (hashes >> np.uint64(32)) | np.uint64(1)
+    for i in range(PROBES):
+        yield (((hashes & np.uint64(MOST_BITS - 1)) + np.uint64(i) * step) & np.uint64(bits - 1)).astype("i8")
+
+
 def counted(texts: DataFrame, table: np.ndarray, longest: int) -> DataFrame:
     """lang, phrase, n: all occurrences of the phrases in the table; phrase '' for all words. Stored."""
     ship(texts.sparkSession)
@@ -199,11 +209,12 @@ def counted(texts: DataFrame, table: np.ndarray, longest: int) -> DataFrame:
 
     def partial(pending: dict[str, Words]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
-        mask = np.uint64(len(bits) * 8 - 1)
 
         def known(_: np.ndarray, h: np.ndarray) -> np.ndarray:
-            at = (h & mask).astype("i8")
-            return (bits[at >> 3] >> (at & 7).astype("u1") & 1).astype(bool)
+            found = np.ones(len(h), "u1")
+            for at in probes(h, len(bits) * 8):
+                found &= bits[at >> 3] >> (at & 7).astype("u1") & 1
+            return found.astype(bool)
 
         for lang, words in pending.items():
             for length, n, _, places in words.levels(longest, known):
