@@ -9,7 +9,7 @@ the threshold are dropped. Survivors are scored again exactly, in integers. Boun
 up; scores never are.
 
 The threshold of an item is a score that at least k documents reach. It starts with the k-th best
-among the `SEED` longest vectors of the whole corpus, and each task raises it by what it finds. Every
+among about `SEED` of the longest vectors of the whole corpus, and each task raises it by what it finds. Every
 task keeps its own k best per item; these few rows are ranked at the end.
 
 Items are taken in blocks of bounded size, and their terms are the only coordinates kept, so what goes
@@ -231,7 +231,9 @@ def _block(docs: DataFrame, queries: Queries, k: int, seed: int) -> DataFrame:
     queries.weigh({t: n for t, n in own.select(F.explode("terms").alias("t")).groupBy("t").count()
                    .collect()}, documents)  # at most one row per term of the block
     made = impacts(own, documents, terms or 1)
-    longest = made.orderBy(F.desc("square"), "row").limit(seed)
+    # About as many of the longest as wanted; which of them does not matter to the result.
+    edge = made.agg(F.percentile_approx("square", max(0.0, 1 - seed / max(1, documents)))).first()[0]
+    longest = made.where(F.col("square") >= F.lit(edge)).limit(seed)
     least = {r.item: r.score for r in best_of(longest, queries, {}, k).groupBy("item").agg(
         F.min("score").alias("score"), F.count("*").alias("n")).where(F.col("n") == k).collect()}
     return written(best_of(made.sortWithinPartitions(F.desc("square")), queries, least, k), "found")
