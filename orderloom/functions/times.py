@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,16 +11,31 @@ from pyspark.sql import functions as F
 ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
 
 
+EPOCH = datetime(1970, 1, 1)
+
+
 def parse_iso(text: Column) -> Column:
     """ISO text to timestamp, null when it is not one. A text without zone is UTC."""
     return F.when(text.rlike(ISO_TEXT), text.try_cast("timestamp"))
 
 
+def utc(value: str | datetime) -> datetime:
+    """A time given by the caller in UTC, without a zone; one that names no zone is in UTC already."""
+    if isinstance(value, str):
+        value = datetime.fromisoformat(value)
+    return value.astimezone(timezone.utc).replace(tzinfo=None) if value.tzinfo else value
+
+
 def moment(value: str | datetime | Column | None) -> Column:
-    """A point in time given by the caller; the clock when none is given."""
+    """A point in time given by the caller; the clock when none is given.
+
+    A datetime handed to Spark as it is would be read in the driver's own zone, so it goes as a number.
+    """
     if value is None:
         return F.current_timestamp()
-    return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
+    if isinstance(value, Column):
+        return value
+    return F.timestamp_micros(F.lit((utc(value) - EPOCH) // timedelta(microseconds=1)))
 
 
 def plus_seconds(ts: Column, seconds: int) -> Column:

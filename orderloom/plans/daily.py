@@ -1,6 +1,8 @@
 """The daily jobs over a store: checks and summaries, each repeatable for a day.
 
-Every table is read between the limits its job needs, so only the folders of these days are listed.
+They read what batches stored about themselves (profiles, changes of sums, counts of dead letters,
+metrics), a few rows per batch, and of these only the folders of their days. Neither raw events nor
+gold nor dead letters are scanned.
 """
 
 from __future__ import annotations
@@ -8,9 +10,9 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from orderloom import schemas as S
+from orderloom.functions.times import utc
 from orderloom.plans import quality, summary
 from orderloom.sinks.tables import Store, overwrite_days, write_checks
 
@@ -20,14 +22,11 @@ INSTANT = timedelta(microseconds=1)
 
 def run_checks(store: Store, path: str, as_of: datetime) -> DataFrame:
     """All checks as of a time, written as the run of that time; a second run replaces the first."""
+    as_of = utc(as_of)
     since, upto = as_of - DAY, as_of + INSTANT
-    tables = {spec.raw_table: store.raw(topic, ingested_since=since)
-              for topic, spec in S.TOPICS.items()}
-    # Gold is looked up by the time of reconciling; an order of any age may have been reopened.
-    gold = store.gold()
-    dead = store.dead_letters(as_of.replace(hour=0, minute=0, second=0, microsecond=0) - DAY, upto)
-    rows = quality.all_checks(tables, gold, dead, store.metrics().where(
-        F.col("batch_timestamp") >= F.lit(since)), as_of)
+    rows = quality.stored_checks(
+        store.raw_profiles(since, upto), store.gold_clocks(since, upto),
+        store.dead_letter_counts(_midnight(as_of) - DAY, upto), store.metrics(since, upto), as_of)
     run_id = as_of.strftime("%Y%m%dT%H%M%S")
     write_checks(rows, path, run_id)
     return store.spark.read.schema(S.CHECK_RESULTS).parquet(f"{path}/run_id={run_id}")
@@ -35,8 +34,12 @@ def run_checks(store: Store, path: str, as_of: datetime) -> DataFrame:
 
 def run_summaries(store: Store, root: str, as_of: datetime) -> None:
     """Hourly SLA rows and daily dead letter rows of the day before, replacing earlier ones."""
-    today = as_of.replace(hour=0, minute=0, second=0, microsecond=0)
-    overwrite_days(summary.hourly_sla_summary(store.gold(today - DAY, today), as_of),
+    today = _midnight(utc(as_of))
+    overwrite_days(summary.hourly_sla_of(store.gold_hours(today - DAY, today)),
                    f"{root}/hourly_sla_summary")
-    overwrite_days(summary.dlq_daily_summary(store.dead_letters(today - DAY, today), as_of),
+    overwrite_days(summary.dlq_daily_summary(store.dead_letter_counts(today - DAY, today), as_of),
                    f"{root}/dlq_daily_summary")
+
+
+def _midnight(time: datetime) -> datetime:
+    return time.replace(hour=0, minute=0, second=0, microsecond=0)

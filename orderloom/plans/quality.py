@@ -84,10 +84,36 @@ def check_null_rates(tables: dict[str, DataFrame], as_of=None) -> DataFrame:
     return raw_checks(tables, as_of, counts=False)
 
 
+def profiled_raw_checks(profiles: DataFrame, as_of=None) -> DataFrame:
+    """The same rows from the profiles that batches stored; the raw tables are not read."""
+    at = moment(as_of)
+    recent = profiles.where(within_last_day(F.col("ingested_at"), at))
+    parts = []
+    for name, columns in NULL_CHECKS.items():
+        own = F.col("table_name") == name
+        n = F.coalesce(F.sum(F.when(own & F.col("column_name").isNull(), F.col("n"))), F.lit(0))
+        totals = recent.where(own).agg(n.alias("n"), *[
+            F.coalesce(F.sum(F.when(F.col("column_name") == c, F.col("n"))), F.lit(0))
+            .alias(f"null_{c}") for c in columns])
+        parts.append(_results(totals, [_count_row(name), *[_null_row(name, c) for c in columns]], at))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def check_reconciliation_rate(gold: DataFrame, as_of=None) -> DataFrame:
     at = moment(as_of)
-    totals = gold.where(within_last_day(F.col("reconciled_at"), at)).agg(
-        F.count("*").alias("n"), F.count("payment_id").alias("paid"))
+    return _reconciliation_rate(gold.where(within_last_day(F.col("reconciled_at"), at)).agg(
+        F.count("*").alias("n"), F.count("payment_id").alias("paid")), at)
+
+
+def summed_reconciliation_rate(clocks: DataFrame, as_of=None) -> DataFrame:
+    """The same row from the changes that batches stored (`Store.gold_clocks`)."""
+    at = moment(as_of)
+    return _reconciliation_rate(clocks.where(within_last_day(F.col("reconciled_at"), at)).agg(
+        *[F.coalesce(F.sum(c), F.lit(0).cast("bigint")).alias(name)
+          for c, name in (("orders", "n"), ("paid", "paid"))]), at)
+
+
+def _reconciliation_rate(totals: DataFrame, at: Column) -> DataFrame:
     rate = F.coalesce(percent(F.col("paid"), F.col("n")), F.lit(0)).cast("decimal(10,2)")
     return _results(totals, [_row(
         F.lit("reconciliation_rate_24h"), _when(rate > 0, "WARN"), None, rate,
@@ -96,13 +122,15 @@ def check_reconciliation_rate(gold: DataFrame, as_of=None) -> DataFrame:
 
 
 def check_dlq_growth(dead_letters: DataFrame, as_of=None) -> DataFrame:
-    """Today's dead letters against yesterday's."""
+    """Today's dead letters against yesterday's; rows with a count `n` stand for so many."""
     at = moment(as_of)
     today = F.date_trunc("day", at)
     failed = F.col("failed_at")
     since = plus_seconds(today, -86400)
-    counts = dead_letters.where((failed >= since) & (failed <= at)).agg(
-        F.count_if(failed >= today).alias("today"), F.count_if(failed < today).alias("before"))
+    n = _weight(dead_letters)
+    counts = dead_letters.where((failed >= since) & (failed <= at)).agg(*[
+        F.coalesce(F.sum(F.when(when, n)), F.lit(0).cast("bigint")).alias(name)
+        for when, name in ((failed >= today, "today"), (failed < today, "before"))])
     growth = F.coalesce(ratio(F.col("today"), F.col("before"), 2), F.lit(0)).cast("decimal(20,2)")
     status = (F.when(F.col("before") == 0, "PASS")
               .when(F.col("today") > DLQ_FAIL_RATIO * F.col("before"), "FAIL")
@@ -112,11 +140,15 @@ def check_dlq_growth(dead_letters: DataFrame, as_of=None) -> DataFrame:
         F.format_string("%d today, %d the day before", "today", "before"))], at)
 
 
+def _weight(rows: DataFrame) -> Column:
+    return F.col("n") if "n" in rows.columns else F.lit(1).cast("bigint")
+
+
 def check_dlq_breakdown(dead_letters: DataFrame, as_of=None, top: int = TOP_REASONS) -> DataFrame:
     """The `top` most frequent reasons of the last day in one line; no row when there are none."""
     at = moment(as_of)
     top = (dead_letters.where(within_last_day(F.col("failed_at"), at))
-           .groupBy("source_topic", "failure_reason").agg(F.count("*").alias("n"))
+           .groupBy("source_topic", "failure_reason").agg(F.sum(_weight(dead_letters)).alias("n"))
            .orderBy(F.desc("n"), "source_topic", "failure_reason").limit(top))
     entry = F.struct((-F.col("n")).alias("rank"), "source_topic", "failure_reason", F.concat_ws(
         "", "source_topic", F.lit("/"), "failure_reason", F.lit(":"), "n").alias("text"))
@@ -159,3 +191,12 @@ def all_checks(tables: dict[str, DataFrame], gold: DataFrame, dead_letters: Data
         raw_checks(tables, as_of), check_reconciliation_rate(gold, as_of),
         check_dlq_growth(dead_letters, as_of), check_dlq_breakdown(dead_letters, as_of),
         check_pipeline_metrics(metrics, as_of)])
+
+
+def stored_checks(profiles: DataFrame, clocks: DataFrame, dead_letter_counts: DataFrame,
+                  metrics: DataFrame, as_of=None) -> DataFrame:
+    """Every check from what batches stored about themselves: a few rows per batch."""
+    return reduce(DataFrame.unionByName, [
+        profiled_raw_checks(profiles, as_of), summed_reconciliation_rate(clocks, as_of),
+        check_dlq_growth(dead_letter_counts, as_of), check_dlq_breakdown(dead_letter_counts, as_of),
+        check_pipeline_metrics(metrics, as_of)])

@@ -14,11 +14,20 @@ from orderloom.functions.times import moment, on_previous_day
 def hourly_sla(gold: DataFrame) -> DataFrame:
     """Orders per day and hour with how many met each limit."""
     day, hour = F.to_date("event_timestamp"), F.hour("event_timestamp")
-    return (gold.groupBy(day.alias("summary_date"), hour.alias("hour"))
-            .agg(F.count("*").alias("total_orders"),
-                 F.count_if("payment_sla_met").alias("payment_sla_met"),
-                 F.count_if("inventory_sla_met").alias("inventory_sla_met"))
-            .select("summary_date", "hour", "total_orders", "payment_sla_met",
+    return _with_rates(gold.groupBy(day.alias("summary_date"), hour.alias("hour")).agg(
+        F.count("*").alias("total_orders"), F.count_if("payment_sla_met").alias("payment_sla_met"),
+        F.count_if("inventory_sla_met").alias("inventory_sla_met")))
+
+
+def hourly_sla_of(changes: DataFrame) -> DataFrame:
+    """The same rows from the changes that batches stored (`Store.gold_hours`)."""
+    return _with_rates(changes.groupBy("summary_date", "hour").agg(*[
+        F.sum(c).alias(c) for c in ("total_orders", "payment_sla_met", "inventory_sla_met")]).where(
+        "total_orders > 0"))
+
+
+def _with_rates(hours: DataFrame) -> DataFrame:
+    return (hours.select("summary_date", "hour", "total_orders", "payment_sla_met",
                     percent(F.col("payment_sla_met"), F.col("total_orders"))
                     .alias("payment_sla_rate"),
                     "inventory_sla_met",
@@ -32,8 +41,10 @@ def hourly_sla_summary(gold: DataFrame, as_of=None) -> DataFrame:
 
 
 def dlq_daily(dead_letters: DataFrame) -> DataFrame:
+    """Dead letters per day, topic and reason; rows with a count `n` stand for so many."""
+    n = F.sum("n") if "n" in dead_letters.columns else F.count("*")
     return (dead_letters.groupBy(F.to_date("failed_at").alias("summary_date"), "source_topic",
-                                 "failure_reason").agg(F.count("*").alias("event_count")))
+                                 "failure_reason").agg(n.alias("event_count")))
 
 
 def dlq_daily_summary(dead_letters: DataFrame, as_of=None) -> DataFrame:

@@ -72,7 +72,8 @@ TOPICS: dict[str, Topic] = {
         ("payment_id", "event_type", "event_timestamp")),
 }
 
-# Stored tables. `event_date` and `failed_date` are partition columns in place of time indexes.
+# Stored tables (fixed values: the columns of the raw, dead letter, gold and metrics tables).
+# `event_date` and `failed_date` are partition columns in place of time indexes.
 RAW_ORDERS = (
     "order_id string, event_type string, event_timestamp timestamp, customer_id string, "
     "total_amount decimal(10,2), currency string, status string, raw_payload string, "
@@ -112,6 +113,15 @@ PIPELINE_METRICS = (
     "reconciliation_failures bigint, reconciliation_failure_rate decimal(6,4), "
     "reconciled_rows bigint, sla_violations bigint, processing_duration_ms bigint"
 )
+RAW_PROFILES = "table_name string, column_name string, n bigint, ingested_at timestamp"
+DEAD_LETTER_COUNTS = (
+    "failed_at timestamp, source_topic string, failure_reason string, n bigint"
+)
+GOLD_HOURS = (
+    "summary_date date, hour int, total_orders bigint, payment_sla_met bigint, "
+    "inventory_sla_met bigint"
+)
+GOLD_CLOCKS = "reconciled_at timestamp, orders bigint, paid bigint"
 CHECK_RESULTS = (
     "check_name string, check_date date, status string, expected_value double, "
     "actual_value double, details string"

@@ -14,14 +14,15 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom import schemas as S
 from orderloom.functions.rates import ratio
-from orderloom.functions.times import moment
+from orderloom.functions.times import moment, utc
 from orderloom.operators.keyed import first_wins, only_new, raw_rows, resolve_gold
 
 
@@ -40,19 +41,34 @@ def read_table(spark: SparkSession, path: str, schema: str, partitions: str = ""
         return spark.createDataFrame([], full)
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int, partitions: Sequence[str] = ()) -> None:
-    """Write one batch, replacing an earlier attempt.
+def write_batch(rows: DataFrame, path: str, batch_id: int, partitions: Sequence[str] = (),
+                totals: dict[str, Column] | None = None) -> dict[str, int]:
+    """Write one batch, replacing an earlier attempt; returns `totals` (sums and counts) of its rows.
 
     The rebalance hint gathers each partition value in few files and lets AQE split a value that
-    holds a large share of the rows.
+    holds a large share of the rows. Totals are observed in the tasks that write, whose results count
+    once, also when tasks before them are done again for a lost executor.
     """
     if not partitions:
         rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        return
+        return {}
     balanced = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).hint(
         "rebalance", *partitions)
+    seen = Observation()
+    if totals:
+        balanced = balanced.observe(seen, *[c.alias(name) for name, c in totals.items()])
     (balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partitions, "batch_id").parquet(path))
+    return _observed(seen, totals) if totals else {}
+
+
+def _observed(seen: Observation, totals: dict[str, Column]) -> dict[str, int]:
+    try:
+        return dict(seen.get)
+    except Py4JJavaError as error:
+        if "toPyRow" not in str(error):
+            raise
+        return dict.fromkeys(totals, 0)  # a plan found to be empty has nothing left to observe
 
 
 def any_of(column: str, values: Iterable[date]) -> str:
@@ -86,6 +102,7 @@ class Store:
 
     def partitions_between(self, since: datetime, until: datetime) -> list[date]:
         """First days of all partitions that hold times from `since` up to `until`."""
+        since, until = utc(since), utc(until)
         first = {"day": since.date(), "month": since.date().replace(day=1),
                  "year": since.date().replace(month=1, day=1)}[self.grain]
         step = {"day": 1, "month": 31, "year": 366}[self.grain]
@@ -97,6 +114,16 @@ class Store:
                      "year": first.replace(month=1, day=1)}[self.grain]
         return found
 
+    def partitions_around(self, dates: Iterable[date], before: int = 0, after: int = 0) -> set[date]:
+        """The partitions, with the one before each and the one after if wanted."""
+        found = set(dates)
+        for d in set(found):
+            start = datetime.combine(d, datetime.min.time())
+            step = timedelta(days={"day": 1, "month": 31, "year": 366}[self.grain])
+            found |= set(self.partitions_between(start - timedelta(seconds=before),
+                                                 start + step * after)[:2 + before])
+        return found
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -105,9 +132,8 @@ class Store:
         """Rows with since <= time < until; with both limits given as times or text, only the
         folders of their dates are listed, else the limits prune what is read."""
         kinds = f"{column} date{between}"
-        low, high = _time_of(since), _time_of(until)
-        if low and high:
-            dates = self.partitions_between(low, high - timedelta(microseconds=1))
+        if all(limit is not None and not isinstance(limit, Column) for limit in (since, until)):
+            dates = self.partitions_between(since, utc(until) - timedelta(microseconds=1))
             rows = read_table(self.spark, self.path(name), schema, kinds, any_of(column, dates))
         else:
             rows = read_table(self.spark, self.path(name), schema, kinds)
@@ -115,8 +141,8 @@ class Store:
                 if limit is not None:
                     rows = rows.where(keep(self.partition_of(moment(limit))))
         if since is not None:
-            rows = rows.where(F.col(time) >= moment(since))
-        return rows if until is None else rows.where(F.col(time) < moment(until))
+            rows = rows.where(F.expr(time) >= moment(since))
+        return rows if until is None else rows.where(F.expr(time) < moment(until))
 
     # Raw events: the first row of a key stays.
 
@@ -139,12 +165,13 @@ class Store:
                           "event_date date, ingested_date date", folders).drop("ingested_date")
 
     def add_raw(self, events: DataFrame, topic: str, batch_id: int, as_of=None,
-                dates: Iterable[date] | None = None) -> None:
+                dates: Iterable[date] | None = None) -> dict[str, int]:
         """Store normalised events of a batch, except those whose key is stored already.
 
         The event time is part of the key, so only stored rows of the batch's own time partitions
         can conflict, and only those are read. Unless given, they are looked up, and the rows are
-        kept meanwhile so that they are computed once.
+        kept meanwhile so that they are computed once. Returns the number of rows stored and of nulls
+        by column, observed while writing.
         """
         spec = S.TOPICS[topic]
         rows = raw_rows(events, topic, as_of).withColumn(
@@ -159,18 +186,57 @@ class Store:
             if batch_id:
                 earlier = self.raw_of(topic, dates or ()).where(F.col("batch_id") < batch_id)
                 fresh = only_new(fresh, earlier, spec.raw_key)
-            write_batch(fresh.withColumn("ingested_date", F.to_date("ingested_at")),
-                        self.path(spec.raw_table), batch_id, ["event_date", "ingested_date"])
+            return write_batch(
+                fresh.withColumn("ingested_date", F.to_date("ingested_at")),
+                self.path(spec.raw_table), batch_id, ["event_date", "ingested_date"],
+                {"rows": F.count("*"), **{
+                    c: F.count_if(F.col(c).isNull()) for c in S.RAW_COLUMNS[topic]}})
         finally:
             if held:
                 rows.unpersist()
 
+    # Profiles: what daily jobs need to know of the rows that a batch stored, a few rows each.
+
+    def raw_profiles(self, since=None, until=None) -> DataFrame:
+        """Per raw table and batch the rows stored, and per column the nulls among them."""
+        return self._dated("raw_profiles", S.RAW_PROFILES, "ingested_date", "ingested_at", since, until)
+
+    def add_raw_profiles(self, found: dict[str, dict[str, int]], batch_id: int, as_of=None) -> None:
+        """`found` are the numbers that `add_raw` returned, by topic."""
+        entries = [F.struct(F.lit(S.TOPICS[topic].raw_table).alias("table_name"),
+                            F.lit(None if name == "rows" else name).cast("string").alias("column_name"),
+                            F.lit(n).cast("bigint").alias("n"))
+                   for topic, own in found.items() for name, n in own.items()]
+        rows = self.spark.range(1, numPartitions=1).select(F.inline(F.array(*entries))).withColumn(
+            "ingested_at", moment(as_of))
+        write_batch(rows.withColumn("ingested_date", self.partition_of(F.col("ingested_at"))),
+                    self.path("raw_profiles"), batch_id, ["ingested_date"])
+
+    def dead_letter_counts(self, since=None, until=None) -> DataFrame:
+        """Dead letters per batch, topic and reason."""
+        return self._dated("dead_letter_counts", S.DEAD_LETTER_COUNTS, "failed_date", "failed_at",
+                           since, until)
+
+    def add_dead_letter_counts(self, batch_id: int, clock=None) -> None:
+        """Counts what the batch has put into the dead letter table."""
+        counts = self.dead_letters_of(batch_id, clock).groupBy(
+            "failed_date", "failed_at", "source_topic", "failure_reason").agg(F.count("*").alias("n"))
+        write_batch(counts, self.path("dead_letter_counts"), batch_id, ["failed_date"])
+
     # Dead letters: every row stays.
 
     def dead_letters(self, since=None, until=None) -> DataFrame:
         return self._dated("dead_letter_events", S.DEAD_LETTERS, "failed_date", "failed_at", since,
                            until)
 
+    def dead_letters_of(self, batch_id: int, clock=None) -> DataFrame:
+        """The dead letters of one batch: all of it failed at its clock, so one folder is looked at.
+        Without the clock, that of the batch in any date."""
+        date = "failed_date=*" if clock is None or isinstance(clock, Column) else any_of(
+            "failed_date", self.partitions_between(clock, clock))
+        return read_table(self.spark, self.path("dead_letter_events"), S.DEAD_LETTERS,
+                          "failed_date date", f"{date}/batch_id={batch_id}")
+
     def add_dead_letters(self, rows: DataFrame, batch_id: int) -> None:
         dated = rows.withColumn("failed_date", self.partition_of(F.col("failed_at")))
         write_batch(dated, self.path("dead_letter_events"), batch_id, ["failed_date"])
@@ -194,10 +260,66 @@ class Store:
         versions are resolved."""
         return resolve_gold(self.gold_versions(since, until).drop("event_date"))
 
-    def add_gold(self, rows: DataFrame, batch_id: int) -> None:
+    def add_gold(self, rows: DataFrame, batch_id: int) -> dict[str, int]:
+        """Adds versions; returns the number of rows and of those that missed a limit, observed while
+        writing."""
         typed = rows.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in S.GOLD.split(", ")])
         dated = typed.withColumn("event_date", self.partition_of(F.col("event_timestamp")))
-        write_batch(dated, self.path("reconciled_order_events"), batch_id, ["event_date"])
+        return write_batch(dated, self.path("reconciled_order_events"), batch_id, ["event_date"], {
+            "rows": F.count("*"),
+            "late": F.count_if(~F.col("payment_sla_met") | ~F.col("inventory_sla_met"))})
+
+    # Deltas: sums over gold as a log of changes, so that none of them needs the resolved table.
+
+    def add_gold_deltas(self, batch_id: int, dates: Iterable[date] | None = None) -> None:
+        """Stores by how much a batch has changed the sums over gold: its versions count, and those
+        they take the place of count negative.
+
+        A batch adds one row per hour of its orders and clock of the versions replaced. `dates` are the
+        partitions in which the batch has gold rows. A batch run again gives the same rows, as it looks
+        at earlier batches only.
+        """
+        versions = self.gold_versions() if dates is None else self.gold_of(dates)
+        facts = F.struct("batch_id", F.col("payment_id").isNotNull().alias("paid"), "payment_sla_met",
+                         "inventory_sla_met", "reconciled_at").alias("v")
+        key = [*S.GOLD_KEY, "event_date"]
+        own = versions.where(F.col("batch_id") == batch_id).select(*key, facts)
+        # The folder of the batch is small next to those of its dates, and the log is read once.
+        replaced = versions.where(F.col("batch_id") < batch_id).select(*key, facts).join(
+            own.select(*key), key, "left_semi").groupBy(*key).agg(F.max("v").alias("v"))
+        signed = own.withColumn("sign", F.lit(1)).unionByName(replaced.withColumn("sign", F.lit(-1)))
+        n = F.col("sign").cast("bigint")
+        sums = signed.groupBy(
+            "event_date", F.to_date("event_timestamp").alias("summary_date"),
+            F.hour("event_timestamp").alias("hour"), "v.reconciled_at").agg(
+            F.sum(n).alias("total_orders"),
+            *[F.coalesce(F.sum(F.when(F.col(f"v.{c}"), n)), F.lit(0)).alias(name) for c, name in (
+                ("payment_sla_met", "payment_sla_met"), ("inventory_sla_met", "inventory_sla_met"),
+                ("paid", "paid"))]).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_batch(sums.groupBy("event_date", "summary_date", "hour").agg(*[
+                F.sum(c).alias(c) for c in ("total_orders", "payment_sla_met", "inventory_sla_met")]),
+                self.path("gold_hour_deltas"), batch_id, ["event_date"])
+            write_batch(sums.groupBy("reconciled_at").agg(
+                F.sum("total_orders").alias("orders"), F.sum("paid").alias("paid")).withColumn(
+                "reconciled_date", self.partition_of(F.col("reconciled_at"))),
+                self.path("gold_clock_deltas"), batch_id, ["reconciled_date"])
+        finally:
+            sums.unpersist()
+
+    def gold_hours(self, since=None, until=None) -> DataFrame:
+        """Changes by hour of the order's time; summed they are what resolved gold would give."""
+        return self._dated("gold_hour_deltas", S.GOLD_HOURS, "event_date",
+                           "(summary_date + make_dt_interval(0, hour))", since, until)
+
+    def gold_hours_of(self, dates: Iterable[date]) -> DataFrame:
+        return read_table(self.spark, self.path("gold_hour_deltas"), S.GOLD_HOURS, "event_date date",
+                          any_of("event_date", dates))
+
+    def gold_clocks(self, since=None, until=None) -> DataFrame:
+        """Changes by the time of reconciling."""
+        return self._dated("gold_clock_deltas", S.GOLD_CLOCKS, "reconciled_date", "reconciled_at",
+                           since, until)
 
     def compact_gold(self, scratch: str, dates: Iterable[date] | None = None) -> None:
         """Make one version of the many in partitions (all unless given), in place.
@@ -226,12 +348,15 @@ class Store:
 
     # Metrics: one row per batch.
 
-    def metrics(self) -> DataFrame:
-        return read_table(self.spark, self.path("pipeline_metrics"), S.PIPELINE_METRICS)
+    def metrics(self, since=None, until=None) -> DataFrame:
+        kept = ", ".join(c for c in S.PIPELINE_METRICS.split(", ") if c != "batch_id bigint")
+        return self._dated("pipeline_metrics", kept, "batch_date", "batch_timestamp", since,
+                           until).select(*[c.split()[0] for c in S.PIPELINE_METRICS.split(", ")])
 
     def add_metrics(self, counts: DataFrame, batch_id: int) -> None:
-        write_batch(pipeline_metrics(counts).drop("batch_id"), self.path("pipeline_metrics"),
-                    batch_id)
+        write_batch(pipeline_metrics(counts).drop("batch_id").withColumn(
+            "batch_date", self.partition_of(F.col("batch_timestamp"))),
+            self.path("pipeline_metrics"), batch_id, ["batch_date"])
 
 
 def pipeline_metrics(counts: DataFrame) -> DataFrame:
@@ -264,12 +389,6 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def _time_of(limit) -> datetime | None:
-    if isinstance(limit, str):
-        limit = datetime.fromisoformat(limit)
-    return limit if isinstance(limit, datetime) else None
-
-
 def now_counts(spark: SparkSession, batch_id: int, as_of=None, **counts: int) -> DataFrame:
     """One row of batch counts as input of `pipeline_metrics`."""
     literals = [F.lit(int(v)).cast("bigint").alias(k) for k, v in counts.items()]
