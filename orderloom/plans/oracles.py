@@ -188,6 +188,26 @@ _LATE_MESSAGES = f"""
                          + CASE WHEN rn % 50 = 7 THEN 1 ELSE 0 END AS BIGINT) AS part)"""
 
 
+def _on_time(name: str, codes: str) -> dict[str, str]:
+    """Valid messages of a topic with their batch and whether they come late, and those in time."""
+    return {
+        f"m{name}": f"""
+            SELECT *, m_ts AS event_timestamp,
+                   CAST(CASE WHEN year(broker_timestamp) < 1997 THEN 0
+                             WHEN year(broker_timestamp) < 1999 THEN 1 ELSE 2 END
+                        + CASE WHEN rn % 50 = 7 THEN 1 ELSE 0 END AS BIGINT) AS part
+            FROM {codes} WHERE failure_code IS NULL""",
+        f"l{name}": f"""
+            SELECT m.*, coalesce(m_ts < newest - INTERVAL 90 SECOND, FALSE) AS late
+            FROM m{name} m LEFT JOIN (
+                SELECT a.part, max(b.newest) AS newest
+                FROM (SELECT DISTINCT part FROM m{name}) a
+                JOIN (SELECT part, max(m_ts) AS newest FROM m{name} GROUP BY 1) b ON b.part < a.part
+                GROUP BY 1) USING (part)""",
+        f"ot_{name}": f"SELECT * FROM l{name} WHERE NOT late",
+    }
+
+
 def oracles() -> dict[str, str]:
     codes = {"oc": order_codes(storage=True), "pc": payment_codes(storage=True),
              "ic": inventory_codes(storage=True)}
@@ -428,6 +448,17 @@ def oracles() -> dict[str, str]:
                       FROM (SELECT DISTINCT topic, part FROM lm) n
                       JOIN lm m ON m.topic = n.topic AND m.part < n.part
                            AND NOT m.bad AND m.failure_code IS NULL GROUP BY 1, 2"""),
+        "stream_match_on_time": with_views(
+            f"""SELECT 'gold' AS kind, order_id AS id, event_timestamp, payment_id,
+                       payment_latency_seconds, inventory_id, sku, inventory_sla_met,
+                       CAST(NULL AS BIGINT) AS batch_id
+                FROM ({matched('ot_o', 'ot_p', 'ot_i', LATE_AS_OF)})""" + "".join(
+                f""" UNION ALL SELECT '{t}', {i}, NULL, NULL, NULL, NULL, NULL, NULL, part
+                     FROM l{x} WHERE late""" for t, x, i in (
+                    ("order-events", "o", "order_id"), ("payment-events", "p", "payment_id"),
+                    ("inventory-events", "i", "inventory_id"))),
+            *msg_views, **late_codes, ic=inventory_codes(LATE_AS_OF, True), **_on_time("o", "oc"),
+            **_on_time("p", "pc"), **_on_time("i", "ic")),
         "stream_unmatched_to_dlq": with_views(
             " UNION ALL ".join(
                 f"""SELECT order_id, event_timestamp, CAST({n} AS BIGINT) AS batch_id
@@ -450,4 +481,12 @@ def oracles() -> dict[str, str]:
             FROM e JOIN b USING (topic, batch)""",
         "stream_dedup": with_views(
             "SELECT DISTINCT order_id, event_type, event_timestamp FROM oe", "oe"),
+        "stream_progress_metrics": with_views(
+            """SELECT n AS input_rows, coalesce(date_trunc('millisecond', max(newest) OVER (
+                          ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+                          - INTERVAL 90 SECOND, TIMESTAMP '1970-01-01') AS watermark,
+                      CAST(0 AS BIGINT) AS late_rows, n AS observed_rows, newest AS observed_newest
+               FROM (SELECT CASE WHEN year(event_timestamp) < 1997 THEN 0
+                                 WHEN year(event_timestamp) < 1999 THEN 1 ELSE 2 END AS part,
+                            count(*) AS n, max(event_timestamp) AS newest FROM oe GROUP BY 1)""", "oe"),
     }

@@ -23,7 +23,7 @@ from orderloom.sinks.tables import (Store, overwrite_days, pipeline_metrics, rea
 from orderloom.sources import archive as archives
 from orderloom.sources import derived as D
 from orderloom.sources.messages import file_messages
-from orderloom.streaming import interval, job, late, streams
+from orderloom.streaming import intake, interval, job, late, progress, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -615,10 +615,46 @@ def stream_dedup(spark, sf):
                       ).drop("batch_id")
 
 
+@query
+def stream_progress_metrics(spark, sf):
+    """What the deduplication stream reports of its batches, one slice of years each."""
+    root = work_dir(spark, "progress")
+    store = store_of(spark, f"{root}/tables")
+    orders = D.orders_ev(spark, sf).select("order_id", "event_type", "event_timestamp")
+    year = F.year("event_timestamp")
+    slices = [{f"{root}/in": orders.where(c)} for c in (
+        year < 1997, (year >= 1997) & (year < 1999), year >= 1999)]
+    log = progress.ProgressLog(store)
+    queries = []
+
+    def run():
+        stream = spark.readStream.schema(orders.schema).parquet(f"{root}/in").observe(
+            "orders", F.count("*").alias("n"), F.max("event_timestamp").alias("newest"))
+        once = streams.deduplicate(stream, list(S.TOPICS[S.ORDERS_TOPIC].raw_key))
+        queries.append(once.writeStream.outputMode("append").format("parquet").option(
+            "path", f"{root}/out").option("checkpointLocation", f"{root}/cp").trigger(
+            availableNow=True).start())
+        return queries[-1]
+
+    spark.streams.addListener(log)
+    try:
+        play(spark, slices, run)
+        if not all([log.wait_for(q) for q in queries]):
+            raise TimeoutError("the streams' reports are not complete")
+    finally:
+        spark.streams.removeListener(log)
+    rows = progress.stream_progress(store).where("input_rows > 0")
+    seen = F.from_json("observed", "orders struct<n:bigint,newest:string>")["orders"]
+    return rows.select("input_rows", "watermark", "late_rows", seen["n"].alias("observed_rows"),
+                       seen["newest"].cast("timestamp").alias("observed_newest"))
+
+
 @query
 def stream_reconcile(spark, sf):
-    """The match as stream-stream joins. A last far-off event of each kind closes the windows."""
+    """The match as a stream, one row per order. A last far-off event of each kind closes the
+    windows."""
     root = work_dir(spark, "interval")
+    store = store_of(spark, f"{root}/tables")
     keep = {
         "orders": ("order_id", "event_type", "event_timestamp", "customer_id", "total_amount",
                    "status"),
@@ -646,19 +682,45 @@ def stream_reconcile(spark, sf):
     def run():
         sources = [spark.readStream.schema(df.schema).parquet(f"{root}/{n}")
                    for n, df in inputs.items()]
-        return streams.each_batch(interval.match_stream(*sources),
-                                  streams.to_table(f"{root}/out"), f"{root}/cp")
+        return streams.each_batch(interval.match_stream(*sources, as_of=D.ORDERS_AS_OF),
+                                  store.add_gold, f"{root}/cp")
 
     play(spark, slices, run)
-    matches = read_table(
-        spark, f"{root}/out",
-        "order_id string, event_timestamp timestamp, "
-        "placed struct<customer_id:string,total_amount:decimal(10,2),order_status:string>, "
-        "paid struct<at:timestamp,payment_id:string,payment_gateway:string,"
-        "payment_amount:decimal(10,2)>, "
-        "stocked struct<at:timestamp,inventory_id:string,sku:string>")
-    return interval.resolve_matches(matches.where(F.col("order_id") != "CLOSING"),
-                                    as_of=D.ORDERS_AS_OF)
+    return store.gold().where("order_id <> 'CLOSING'")
+
+
+@query
+def stream_match_on_time(spark, sf):
+    """Messages by year, some a batch too late: these become dead letters, the others are matched."""
+    root = work_dir(spark, "on-time")
+    store = store_of(spark, f"{root}/tables")
+    rows = D.messages(spark, sf)
+    year, held_back = F.year("timestamp"), (F.col("offset") % 50 == 7).cast("int")
+    part = F.when(year < 1997, 0).when(year < 1999, 1).otherwise(2) + held_back
+    slices = [{f"{root}/in": rows.where(part == n)} for n in range(4)]
+    play(spark, slices, lambda: intake.accept(
+        file_messages(spark, f"{root}/in"), store, f"{root}/accepted", f"{root}/cp1",
+        as_of=D.LATE_AS_OF), rows)
+    kinds = {S.ORDERS_TOPIC: "ORDER_CREATED", S.PAYMENTS_TOPIC: "PAYMENT_CONFIRMED",
+             S.INVENTORY_TOPIC: "INVENTORY_RESERVED"}
+    for topic, kind in kinds.items():  # a last far-off event of each kind closes the windows
+        fixed = {"event_type": F.lit(kind), "event_timestamp": F.lit("2100-01-01"),
+                 **dict.fromkeys(("order_id", "payment_id", "inventory_id"), F.lit("CLOSING"))}
+        intake.land(spark.range(1).select(*[
+            fixed.get(c.split()[0], F.lit(None)).cast(c.split()[1]).alias(c.split()[0])
+            for c in S.RAW_TABLES[topic].split(", ")]), f"{root}/accepted", topic, 1000)
+    play(spark, [{}], lambda: streams.each_batch(
+        interval.match_stream(*[intake.accepted(spark, f"{root}/accepted", t) for t in (
+            S.ORDERS_TOPIC, S.PAYMENTS_TOPIC, S.INVENTORY_TOPIC)], as_of=D.LATE_AS_OF),
+        store.add_gold, f"{root}/cp2"))
+    late_id = F.coalesce(*[F.get_json_object("raw_payload", f"$.{c}") for c in (
+        "inventory_id", "payment_id", "order_id")])
+    late_rows = store.dead_letters().where(F.col("failure_reason") == late.LATE).select(
+        F.col("source_topic").alias("kind"), late_id.alias("id"), F.col("batch_id"))
+    return store.gold().where("order_id <> 'CLOSING'").select(
+        F.lit("gold").alias("kind"), F.col("order_id").alias("id"), "event_timestamp", "payment_id",
+        "payment_latency_seconds", "inventory_id", "sku", "inventory_sla_met").unionByName(
+        late_rows, allowMissingColumns=True)
 
 
 @query

@@ -121,6 +121,10 @@ GOLD_HOURS = (
     "summary_date date, hour int, total_orders bigint, payment_sla_met bigint, "
     "inventory_sla_met bigint"
 )
+STREAM_PROGRESS = (
+    "query_name string, run_id string, reported_at timestamp, input_rows bigint, batch_ms bigint, "
+    "watermark timestamp, state_rows bigint, state_bytes bigint, late_rows bigint, observed string"
+)
 GOLD_CLOCKS = "reconciled_at timestamp, orders bigint, paid bigint"
 CHECK_RESULTS = (
     "check_name string, check_date date, status string, expected_value double, "

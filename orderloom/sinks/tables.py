@@ -389,6 +389,19 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder, which readers of the target's parent see at once. A target that is there
+    already stays, and the source goes."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(path(target)):
+        files.delete(path(source), True)
+        return
+    files.mkdirs(path(target).getParent())
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def now_counts(spark: SparkSession, batch_id: int, as_of=None, **counts: int) -> DataFrame:
     """One row of batch counts as input of `pipeline_metrics`."""
     literals = [F.lit(int(v)).cast("bigint").alias(k) for k, v in counts.items()]
