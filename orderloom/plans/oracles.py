@@ -413,6 +413,27 @@ def oracles() -> dict[str, str]:
             " UNION ALL ".join([_row_counts(EVENTS_AS_OF), _null_rates(EVENTS_AS_OF),
                                 _recon_rate(EVENTS_AS_OF), _DLQ_GROWTH, _DLQ_BREAKDOWN, _PIPELINE]),
             *STREAMS, "dl", "pm", **_RAW, gold=matched(as_of=EVENTS_AS_OF)),
+        "hourly_sla_changes": gold(_hourly("TRUE")),
+        "recon_rate_changes": gold(" UNION ALL ".join(
+            _recon_rate(as_of).replace("FROM gold", f"FROM {view}") for as_of, view in (
+                (ORDERS_AS_OF, "now"), ("TIMESTAMP '2001-07-15 11:30:00'", "now"),
+                ("TIMESTAMP '2001-07-16 11:30:00'", "now"))), now="""
+            SELECT * REPLACE (
+                CASE WHEN year(event_timestamp) < 1998 AND CAST(substr(order_id, 5) AS BIGINT) % 4 <> 0
+                     THEN TIMESTAMP '2001-07-15 11:00:00' ELSE reconciled_at END AS reconciled_at)
+            FROM gold"""),
+        "raw_profiles": with_views(
+            f"""SELECT 'raw_order_events' AS table_name, name AS column_name,
+                       CASE WHEN name IS NULL THEN count(*) WHEN name = 'status' THEN 0
+                            ELSE count(*) FILTER (WHERE total_amount IS NULL) END AS n,
+                       {ORDERS_AS_OF} AS ingested_at, batch AS batch_id
+                FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY batch, seq) AS pick FROM d),
+                     (VALUES (NULL), ('total_amount'), ('status')) c(name)
+                WHERE pick = 1 GROUP BY name, batch""", "oe",
+            d="""SELECT k, CASE WHEN k % 9 <> 0 THEN total_amount END AS total_amount,
+                        k % 2 AS batch, k * 10 AS seq FROM oe
+                 UNION ALL SELECT k, CASE WHEN k % 9 <> 0 THEN total_amount END, 1, k * 10 + 1
+                 FROM oe WHERE k % 10 IN (0, 3)"""),
         "hourly_sla_summary": gold(_hourly(_day_before("2001-07-15"))),
         "hourly_sla_backfill": gold(_hourly("TRUE")),
         "stream_hourly_sla": gold(_hourly("TRUE")),

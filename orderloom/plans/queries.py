@@ -249,6 +249,54 @@ def gold_upsert(spark, sf):
     return store.gold()
 
 
+def _with_changes(spark: SparkSession, sf: str) -> Store:
+    """Gold in two batches, the second reopening some orders of the first; both tried twice."""
+    store = store_of(spark, work_dir(spark, "changes"))
+    gold = gold_of(spark, sf)
+    early = F.year("event_timestamp") < 1998
+    again = F.substring("order_id", 5, 20).cast("bigint") % 4 == 0
+    unpaid = gold.where(early).withColumns({
+        "payment_sla_met": F.col("payment_sla_met") & ~again,
+        "payment_id": F.when(~again, F.col("payment_id")),
+        "reconciled_at": F.lit("2001-07-15 11:00:00").cast("timestamp")})
+    for batch, rows in ((0, unpaid), (1, gold.where(~early | again))):
+        for _ in range(2):
+            store.add_gold(rows, batch)
+            store.add_gold_deltas(batch)
+    return store
+
+
+@query
+def hourly_sla_changes(spark, sf):
+    """The hourly summary as a sum of stored changes, without gold."""
+    return summary.hourly_sla_of(_with_changes(spark, sf).gold_hours())
+
+
+@query
+def recon_rate_changes(spark, sf):
+    """The reconciliation rate as a sum of stored changes, in windows that hold both batches, the
+    first only, and the second only."""
+    clocks = _with_changes(spark, sf).gold_clocks()
+    times = ("2001-07-15 12:00:00", "2001-07-15 11:30:00", "2001-07-16 11:30:00")
+    return reduce(DataFrame.unionByName, [
+        quality.summed_reconciliation_rate(clocks, as_of=t) for t in times])
+
+
+@query
+def raw_profiles(spark, sf):
+    """What batches of first rows note of themselves: rows and nulls."""
+    store = store_of(spark, work_dir(spark, "profiles"))
+    rows = _deliveries(raw_tables(spark, sf)["raw_order_events"], "total_amount", F.col("k"))
+    fields = [c for c in S.RAW_COLUMNS[S.ORDERS_TOPIC] if c not in ("raw_payload", "ingested_at")]
+    for batch in (0, 1, 1):  # the second batch is tried twice
+        own = rows.where(F.col("batch") == batch).select(*fields, "source_offset")
+        store.add_raw_profiles({S.ORDERS_TOPIC: store.add_raw(
+            own, S.ORDERS_TOPIC, batch, as_of=D.ORDERS_AS_OF)}, batch, D.ORDERS_AS_OF)
+    return store.raw_profiles().where(
+        "column_name IS NULL OR column_name IN ('total_amount', 'status')").select(
+        "table_name", "column_name", "n", "ingested_at", "batch_id")
+
+
 @query
 def pipeline_metrics_rate(spark, sf):
     return metrics_of(spark, sf).drop("sla_violations")
