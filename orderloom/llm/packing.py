@@ -27,8 +27,12 @@ from orderloom.llm.common import columns, per_slice, written
 from orderloom.llm.tokens import encoder
 
 PIECES = columns("doc_id bigint, piece int, start bigint, length bigint, ids binary")
-#: Groups of large lengths; the linear program has as many rows. The best of these plans is taken.
+#: Groups of large lengths; the linear program has as many rows.
 GROUPS = (12, 24, 48)
+#: Share of the program's sequences that is filled by it. What a group rounds up leaves gaps that only
+#: small lengths fill, so the other large lengths go into sequences of their own choice by best fit.
+#: The best of these plans is taken; a share of 0 is best fit alone.
+SHARES = (1.0, 0.5, 0.25, 0.125, 0.0)
 #: Row numbers are taken within (length, salt).
 SALTS = 64
 
@@ -119,25 +123,26 @@ def pack(pieces: DataFrame, cap: int = 1024, groups: tuple[int, ...] = GROUPS, s
 
 def plan(histogram: dict[int, int], cap: int, groups: tuple[int, ...] = GROUPS) -> list[Run]:
     """Runs that hold every length of the histogram as often as it occurs."""
-    return min((plan_with(histogram, cap, n) for n in groups), key=lambda runs: sum(
-        run.n for run in runs))
+    plans = [plan for n in groups for plan in plans_with(histogram, cap, n)]
+    return min(plans, key=lambda runs: sum(run.n for run in runs))
 
 
-def plan_with(histogram: dict[int, int], cap: int, groups: int) -> list[Run]:
+def plans_with(histogram: dict[int, int], cap: int, groups: int) -> list[list[Run]]:
+    """One plan for each of the shares, on one solution of the configuration program."""
     full = [Run(n, 0, [(cap, 1)]) for length, n in histogram.items() if length == cap and n]
     rest = sorted(((length, n) for length, n in histogram.items() if length < cap and n),
                   reverse=True)
     large = [x for x in rest if x[0] > cap // 8]
-    runs, left = grouped(large, cap, groups)
     small = [x for x in rest if x[0] <= cap // 8]
-    return full + best_fit(runs, sorted(left + small, reverse=True), cap)
+    return [full + best_fit(runs, sorted(left + small, reverse=True), cap)
+            for runs, left in grouped(large, cap, groups)]
 
 
-def grouped(large: list[tuple[int, int]], cap: int, groups: int) -> tuple[list[Run], list]:
-    """Runs from the configuration program, and the (length, count) they leave."""
+def grouped(large: list[tuple[int, int]], cap: int, groups: int) -> list[tuple[list[Run], list]]:
+    """For each share runs from the configuration program, and the (length, count) they leave."""
     total = sum(n for _, n in large)
     if not total:
-        return [], []
+        return [([], [])]
     quota, queues = -(-total // groups), [[]]
     room = quota
     for length, n in large:
@@ -157,8 +162,17 @@ def grouped(large: list[tuple[int, int]], cap: int, groups: int) -> tuple[list[R
     queues = merged
     sizes = [q[0][0] for q in queues]
     counts = [sum(n for _, n in q) for q in queues]
+    solved = configurations(sizes, counts, cap)
+    return [_substituted([[list(x) for x in q] for q in queues],
+                         [(config, int(times * share)) for config, times in solved], cap)
+            for share in SHARES]
+
+
+def _substituted(queues: list[list[list[int]]], configs: list[tuple[list[int], int]],
+                 cap: int) -> tuple[list[Run], list]:
+    """Actual lengths in the places of the rounded ones, and what is left of them."""
     runs = []
-    for config, times in configurations(sizes, counts, cap):
+    for config, times in configs:
         slots = [g for g, a in enumerate(config) for _ in range(a)]
         while times:
             heads = {g: 0 for g in slots}

@@ -26,17 +26,33 @@ LONG_PIECE = 64
 
 
 class Encoder:
-    """ids(texts): the ids of each text as little-endian unsigned 32-bit integers."""
+    """ids(texts): the ids of each text as little-endian unsigned 32-bit integers.
 
-    def __init__(self, path: str):
+    A control string in a text (an added token of the tokenizer) is its own id, as in the library by
+    default; the text is cut there. With `literal` it is ordinary text.
+    """
+
+    def __init__(self, path: str, literal: bool = False):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use the cores
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # control strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = literal
+        added = {} if literal else {
+            t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.control = {c: np.array([i], "<u4").tobytes() for c, i in added.items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
         self.kept: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        if not any(c in text for c in self.control for text in texts):
+            return self._plain(texts)
+        parts = [self.cut.split(text) for text in texts]  # every second one is a control string
+        plain = iter(self._plain([p for own in parts for p in own[::2]]))
+        return [b"".join(self.control[p] if i % 2 else next(plain) for i, p in enumerate(own))
+                for own in parts]
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
         kept = self.kept
         if len(kept) > KEPT_PIECES:
             kept.clear()

@@ -1,7 +1,9 @@
 """Tokens, plane shards and packing against the tokenizer itself and plain Python."""
 
 import io
+import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -10,15 +12,13 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from orderloom.llm import packing, tokenbin
+from orderloom.llm import packing, tokenbin, tokens
 from orderloom.llm.planes import BITS, BYTES, PlaneReader, PlaneWriter
 from orderloom.llm.queries import QUERIES, tokenizer
 from orderloom.llm.tokens import encoder
 
 NAMES = ("word_bpe_49k.json", "byte_bpe_50k.json")
 PLAIN = {name: Tokenizer.from_file(public_tokenizers.path(name)) for name in NAMES}
-for t in PLAIN.values():
-    t.encode_special_tokens = True
 
 TRICKY = ["a", "Be", "é", "É", "e\u0301", "ß", "Σ", "İ", " ", "  ", "\n", "\t", "\x1c", "\x85",
           "\xa0", "\u3000", "'s", "'ll", "'", "12", "3", "!", ".", ",", "##", "<|endoftext|>", "漢字",
@@ -162,3 +162,33 @@ def test_configurations_reach_the_optimum():
     """Three sizes that fit only together: 512 + 341 + 171 = 1024."""
     runs = packing.plan({512: 600, 341: 600, 171: 600}, 1024)
     assert sum(run.n for run in runs) == 600
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_control_strings_are_ids_as_in_the_library(name):
+    rnd = random.Random(4)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|endoftext", "|>", " ", "a", "Word's", "\n\n", "é", "<|EndOfText|>"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9))) for _ in range(400)]
+    made = tokens.Encoder(tokenizer(name)).ids(texts)
+    library = Tokenizer.from_file(tokenizer(name))
+    for text, ids in zip(texts, made, strict=True):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want, text
+    library.encode_special_tokens = True
+    literal = tokens.Encoder(tokenizer(name), literal=True).ids(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in literal] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.dictionaries(st.integers(1, 256), st.sampled_from([1, 2, 7, 50]), min_size=1, max_size=60))
+def test_plans_are_no_worse_than_best_fit(histogram):
+    alone = packing.best_fit([], sorted(histogram.items(), reverse=True), 256)
+    assert sum(r.n for r in packing.plan(histogram, 256)) <= sum(r.n for r in alone)
+
+
+def test_plan_of_the_documents_is_no_worse_than_best_fit(spark):
+    rows = QUERIES["op10_pack"](spark, "/root/testdata/sf0.01").select("length", "sequence_id").collect()
+    histogram = Counter(r.length for r in rows)
+    alone = packing.best_fit([], sorted(histogram.items(), reverse=True), 1024)
+    assert len({r.sequence_id for r in rows}) <= sum(r.n for r in alone)
