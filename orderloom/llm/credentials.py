@@ -4,8 +4,8 @@ Strong findings (assignments, access identifiers, long hexadecimal runs) count b
 candidates (a bare string of the form of a secret key, an address of a service, an account number)
 count only when complementary parts lie in the same scope: an interval join of candidates, done
 within each document by one sweep over sorted places, so that no pair of candidates is spelled out.
-A scope is a block of lines between blank lines; parts in one scope also have to lie within `reach`
-code points.
+A scope is a block of lines between blank lines, however long; with `reach`, parts in one scope also
+have to lie within so many code points.
 
 No shuffle: a document is judged where it is read.
 
@@ -35,15 +35,12 @@ KEY_STRING = re.compile("(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za
 SERVICES = ("s3", "sqs", "sns", "ec2", "rds", "dynamodb")
 ENDPOINT = re.compile(
     "\\b(?:https?|amqps?|redis|mongodb|postgres(?:ql)?|mysql|s3)://[A-Za-z0-9.-]+(?::[0-9]{2,5})?"
-    f"|\\b[a-z0-9-]+\\.(?:{'|'.join(SERVICES)})\\.[a-z0-9.-]+", re.ASCII)
+    f"|(?<![A-Za-z0-9_-])[a-z0-9-]+\\.(?:{'|'.join(SERVICES)})\\.[a-z0-9.-]+", re.ASCII)
 ACCOUNT = re.compile("(?<![0-9A-Za-z])[0-9]{12}(?![0-9A-Za-z])")
 KINDS = ("assign", "access", "hex", "key", "endpoint", "account")
 #: What completes a weak candidate: one of these kinds in its scope.
 COMPLEMENTS = {"key": ("access", "account"), "account": ("access", "key"),
                "endpoint": ("access", "assign", "key")}
-#: Code points between the two parts, at most.
-REACH = 400
-
 RESULT = columns("doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint,"
                  "base_sha256 string, spans string, n_linked bigint, links strings")
 BLANK = re.compile("\n[ \t\r]*\n")
@@ -78,7 +75,7 @@ def weak_spans(text: str, base: list[Span]) -> list[Span]:
     return sorted(s for s in found if free(s))
 
 
-def linked(text: str, base: list[Span], reach: int = REACH) -> tuple[list[Span], list[str]]:
+def linked(text: str, base: list[Span], reach: int | None = None) -> tuple[list[Span], list[str]]:
     """Weak spans with a complement in scope, and one link for each: to the nearest complement.
 
     Three sweeps: key strings against identifiers first; then what else is weak against the base
@@ -99,7 +96,7 @@ def linked(text: str, base: list[Span], reach: int = REACH) -> tuple[list[Span],
             i = bisect_left(starts, span[0])
             near = [(max(o[0] - span[1], span[0] - o[1], 0), o) for o in others[max(0, i - 1):i + 1]
                     if scope(o[0]) == scope(span[0])]
-            near = [x for x in near if x[0] <= reach]
+            near = [x for x in near if reach is None or x[0] <= reach]
             if near:
                 other = min(near)[1]
                 reported.append(span)
@@ -118,7 +115,7 @@ def joined(spans: list[Span]) -> str:
                     sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1])))
 
 
-def judge(text: str | None, reach: int = REACH) -> tuple:
+def judge(text: str | None, reach: int | None = None) -> tuple:
     text = text or ""
     base = base_spans(text)
     more, links = linked(text, base, reach)
@@ -127,7 +124,7 @@ def judge(text: str | None, reach: int = REACH) -> tuple:
             hashlib.sha256(joined(base).encode()).hexdigest(), joined(base + more), len(more), links)
 
 
-def secret_scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def secret_scan(docs: DataFrame, reach: int | None = None) -> DataFrame:
     """One row per document: counts of base findings, all spans, and the links of weak ones."""
 
     def task(part: dict[str, list]) -> dict[str, list]:
