@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import tempfile
@@ -15,10 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from orderloom.session import work_dir
+from orderloom.sinks.tables import remove_folder
 
 #: Rows and text that a task holds as Python objects at once.
 SLICE_ROWS, SLICE_BYTES = 256, 2_000_000
 _shipped: set[str] = set()
+_scratch: list[str] = []
 _memory: dict[str, dict] = {}
 TYPES = {"bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(),
          "boolean": T.BooleanType(), "double": T.DoubleType(), "binary": T.BinaryType(),
@@ -56,9 +59,26 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """The rows as a table in the shared folder: computed once, and not again if an executor is lost."""
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
+    _scratch.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scratch_mark() -> int:
+    """Where the tables written from now on begin; see `discard`."""
+    return len(_scratch)
+
+
+def discard(spark: SparkSession, since: int, upto: int) -> None:
+    """Removes scratch tables that nothing will read any more, by marks, and lets Spark drop the shuffle
+    files of plans that are gone."""
+    for path in _scratch[since:upto]:
+        if path:
+            remove_folder(spark, path)
+    _scratch[since:upto] = [""] * (upto - since)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fresh(name: str, taken: list[str]) -> str:
     """`name`, lengthened until no column of that name is there."""
     while name.lower() in {c.lower() for c in taken}:
@@ -90,18 +110,27 @@ def attached(df: DataFrame, needs: list[str], task: Callable[[dict[str, list]],
              name: str, kind: T.StructType) -> DataFrame:
     """All columns of `df` and a struct `name`, made by `task` from slices of the columns `needs`."""
     ship(df.sparkSession)
-    schema = T.StructType([*[f for f in df.schema.fields if f.name != name],
-                           T.StructField(name, kind)])
+    at = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    kept = [c for c in df.columns if c != name]
+    plain = by_position(df)
+    schema = T.StructType([*[plain.schema[at[c]] for c in kept], T.StructField("made", kind)])
     fields = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [x for part in slices([batch.select(needs)]) for x in task(part)]
+            asked = pa.RecordBatch.from_arrays([batch.column(at[c]) for c in needs], names=needs)
+            made = [x for part in slices([asked]) for x in task(part)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(made, f.type) if f.name == name else batch.column(f.name)
+                [pa.array(made, f.type) if f.name == "made" else batch.column(f.name)
                  for f in fields], schema=fields)
 
-    return df.mapInArrow(run, schema)
+    return plain.mapInArrow(run, schema).toDF(*kept, name)
+
+
+def by_position(df: DataFrame) -> DataFrame:
+    """The columns named c0, c1, ...: Arrow functions do not take names with dots, and no new column
+    can clash."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[dict[str, list]]:

@@ -39,9 +39,9 @@ def train(docs: DataFrame, per_label: int = 250, words_per_text: int = 150) -> M
         "doc_id", "lang", F.xxhash64("doc_id", F.lit(9)).alias("_h"))
     chosen = keys.withColumn("_n", F.row_number().over(
         Window.partitionBy("lang").orderBy("_h", "doc_id"))).where(
-        F.col("_n") <= per_label).select(F.col("doc_id").alias("_id")).distinct()
+        F.col("_n") <= per_label).select("doc_id").distinct()
     # At most per_label rows for each label.
-    texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).where(
+    texts = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang").collect()
     cut = []
     for text, lang in sorted(map(tuple, texts)):

@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import arrow_schema, columns, fresh, per_slice, ship, slices, written
+from orderloom.llm.common import (arrow_schema, by_position, columns, fresh, per_slice, ship, slices,
+                                  written)
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 MIN_WORDS = 50
@@ -203,31 +204,30 @@ def edited(docs: DataFrame, min_words: int = MIN_WORDS, result: str = "line_dedu
 def applied(docs: DataFrame, matches: DataFrame, edit: Callable[[str | None, list[dict] | None], tuple],
             result: str, kind: T.StructType) -> DataFrame:
     """All columns of `docs`; text and the struct `result` as `edit` makes them from text and matches."""
-    names = docs.columns
-    k_id, k_hash, found = (fresh(n, names) for n in ("_k_id", "_k_hash", "_matches"))
-    matches = matches.select(
-        F.col("k_id").alias("_m_id"), F.col("k_hash").alias("_m_hash"),
-        F.col("matches").alias(found))
-    joined = docs.select("*", F.coalesce("doc_id", F.lit(LAST_ID)).alias(k_id),
-                         F.xxhash64("text").alias(k_hash)).join(
-        matches, (F.col(k_id) == F.col("_m_id")) & (F.col(k_hash) == F.col("_m_hash")), "left")
-    schema = T.StructType([*docs.schema.fields, T.StructField(result, kind)])
+    names, text_at = docs.columns, f"c{docs.columns.index('text')}"
+    matches = matches.select(F.col("k_id").alias("m_id"), F.col("k_hash").alias("m_hash"),
+                             F.col("matches").alias("found"))
+    plain = by_position(docs)  # names of any form
+    joined = plain.select("*", F.coalesce(F.col(f"c{names.index('doc_id')}"), F.lit(LAST_ID)).alias("k_id"),
+                          F.xxhash64(text_at).alias("k_hash")).join(
+        matches, (F.col("k_id") == F.col("m_id")) & (F.col("k_hash") == F.col("m_hash")), "left")
+    schema = T.StructType([*plain.schema.fields, T.StructField("result", kind)])
     fields = arrow_schema(schema)
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, notes = [], []
-            for part in slices([batch.select(["text", found])]):
-                for text, own in zip(part["text"], part[found], strict=True):
+            for part in slices([batch.select([text_at, "found"])]):
+                for text, own in zip(part[text_at], part["found"], strict=True):
                     new, *note = edit(text, own)
                     texts.append(new)
                     notes.append(dict(zip(kind.names, note, strict=True)))
-            made = [pa.array(texts, f.type) if f.name == "text" else pa.array(notes, f.type)
-                    if f.name == result else batch.column(f.name) for f in fields]
+            made = [pa.array(texts, f.type) if f.name == text_at else pa.array(notes, f.type)
+                    if f.name == "result" else batch.column(f.name) for f in fields]
             yield pa.RecordBatch.from_arrays(made, schema=fields)
 
-    return joined.select(*[F.col(f"`{c}`") for c in names], F.col(found)).mapInArrow(run, schema)
+    return joined.select(*plain.columns, "found").mapInArrow(run, schema).toDF(*names, result)
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -193,11 +193,11 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     first = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("d"), F.col("k_hash").alias("h"))
     kept = written(sets.where("n > 0").join(named, ["set_hi", "set_lo"]).groupBy("root").agg(
         F.min(first).alias("first")), "kept")
-    d, h, w = (fresh(x, docs.columns) for x in ("_d", "_h", "_worded"))
+    d, h, w, k_d, k_h = (fresh(x, docs.columns) for x in ("_d", "_h", "_worded", "_k_d", "_k_h"))
     keys = docs.select("*", F.coalesce("doc_id", F.lit(NO_ID)).alias(d),
                        F.xxhash64("text").alias(h),
                        F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)).alias(w))
-    chosen = kept.select(F.col("first.d").alias("_k_d"), F.col("first.h").alias("_k_h"))
-    staying = keys.where(w).join(chosen, (F.col(d) == F.col("_k_d")) & (F.col(h) == F.col("_k_h")),
+    chosen = kept.select(F.col("first.d").alias(k_d), F.col("first.h").alias(k_h))
+    staying = keys.where(w).join(chosen, (F.col(d) == F.col(k_d)) & (F.col(h) == F.col(k_h)),
                                  "left_semi").dropDuplicates([d, h])
     return staying.unionByName(keys.where(~F.col(w))).drop(d, h, w)

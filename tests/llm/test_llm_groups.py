@@ -336,3 +336,20 @@ def test_stages_on_empty_and_awkward_tables(spark):
         made = stage(spark, more, SF)
         assert made.count() > 0
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "language"
+
+
+def test_stages_take_any_column_names(spark):
+    """Names that the operators use themselves, and names with dots."""
+    from orderloom.llm import decontaminate, language
+
+    text = " ".join(f"word{i} and the of" for i in range(40))
+    rows = [(i, text if i < 3 else f"{text} {i}" * (i % 3 + 1), "en") for i in range(9)]
+    clashing = ["_id", "_m_id", "_m_hash", "_k_d", "_k_h", "a.b", "c0", "made", "found", "result", "hits"]
+    df = spark.createDataFrame([(*r, *range(len(clashing))) for r in rows], "doc_id bigint, text string, lang string, "
+                               + ", ".join(f"`{c}` int" for c in clashing))
+    items = spark.createDataFrame([(1, "nothing of that kind")], "item_id bigint, text string")
+    for made in (language.keep_identified(df), passages.without_repeats(df), linededup.without_repeats(df),
+                 setjoin.one_of_each(df), decontaminate.without_benchmark(df, items)):
+        assert made.columns == df.columns
+        kept = made.collect()
+        assert kept and all(tuple(r[3:]) == tuple(range(len(clashing))) for r in kept)
