@@ -56,10 +56,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the shared folder: computed once, and not again if an executor is lost."""
+    """The rows as a table in the shared folder: computed once, and not again if an executor is lost.
+
+    The shuffle files of the plan are of no use any more. Spark deletes them when its driver collects
+    garbage, which a driver with little to do hardly does by itself, so it is asked to.
+    """
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
     _scratch.append(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -68,15 +73,16 @@ def scratch_mark() -> int:
     return len(_scratch)
 
 
-def discard(spark: SparkSession, since: int, upto: int) -> None:
-    """Removes scratch tables that nothing will read any more, by marks, and lets Spark drop the shuffle
-    files of plans that are gone."""
-    for path in _scratch[since:upto]:
-        if path:
-            remove_folder(spark, path)
-    _scratch[since:upto] = [""] * (upto - since)
+def discard(docs: DataFrame, since: int, upto: int) -> None:
+    """Removes the scratch tables between two marks, but for those that `docs` still reads."""
+    files = docs.inputFiles()
+    for i in range(since, upto):
+        name = _scratch[i].rsplit("/", 1)[-1]  # unique by itself
+        if name and not any(f"/{name}/" in f for f in files):
+            remove_folder(docs.sparkSession, _scratch[i])
+            _scratch[i] = ""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    docs.sparkSession.sparkContext._jvm.System.gc()
 
 
 def fresh(name: str, taken: list[str]) -> str:
