@@ -9,6 +9,7 @@ from orderloom.functions.times import moment
 from orderloom.sinks.tables import read_table, write_batch
 
 PARTITIONS = ("year", "month", "day", "hour")
+FOLDERS = ", ".join(f"{c} int" for c in PARTITIONS)
 
 
 def with_hour_columns(events: DataFrame, time_column: str = "event_timestamp") -> DataFrame:
@@ -36,8 +37,19 @@ def replay(spark: SparkSession, path: str, schema: str, start, end,
     """
     at = F.col(time_column)
     low, high = moment(start), moment(end)
-    folder: Column = F.make_timestamp("year", "month", "day", "hour", F.lit(0),
-                                      F.lit(0).cast("decimal(16,6)"))
-    stored = read_table(spark, path, schema, "year int, month int, day int, hour int")
-    return (stored.where((folder >= F.date_trunc("hour", low)) & (folder < high))
-            .where((at >= low) & (at < high)))
+    return _between(read_table(spark, path, schema, FOLDERS), low, high).where(
+        (at >= low) & (at < high))
+
+
+def rows_per_hour(spark: SparkSession, path: str, start, end) -> DataFrame:
+    """Per archived hour that start <= time < end touches, the rows of its files. No column is read."""
+    stored = _between(read_table(spark, path, "", FOLDERS), moment(start), moment(end))
+    return stored.groupBy(folder_hour().alias("hour")).agg(F.count("*").alias("n"))
+
+
+def folder_hour() -> Column:
+    return F.make_timestamp("year", "month", "day", "hour", F.lit(0), F.lit(0).cast("decimal(16,6)"))
+
+
+def _between(stored: DataFrame, low: Column, high: Column) -> DataFrame:
+    return stored.where((folder_hour() >= F.date_trunc("hour", low)) & (folder_hour() < high))
