@@ -71,6 +71,12 @@ def _observed(seen: Observation, totals: dict[str, Column]) -> dict[str, int]:
         return dict.fromkeys(totals, 0)  # a plan found to be empty has nothing left to observe
 
 
+def bloom_filters(*columns: str) -> dict[str, str]:
+    """Write options for Parquet Bloom filters of these columns, each sized by what its row group holds."""
+    return {"parquet.bloom.filter.adaptive.enabled": "true", **{
+        f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}}
+
+
 def any_of(column: str, values: Iterable[date]) -> str:
     """Pattern of the folders of these values; of none, a pattern that fits nothing."""
     found = sorted({str(v) for v in values})
@@ -329,6 +335,10 @@ class Store:
         its first version, so at every point between, and after a crash, the table reads the same.
         The other tables are untouched: later events find their partners as before. No batch may
         run meanwhile.
+
+        The files are laid out for `plans.lookups`: a date's rows are cut into ranges of customer, time
+        and order, so one customer's rows lie in few files, however many they are, and Bloom filters
+        of both ids let a reader pass over files and row groups that do not hold one.
         """
         versions = self.gold_versions() if dates is None else self.gold_of(dates)
         newest = versions.groupBy("event_date").agg(F.max("batch_id").alias("batch_id"),
@@ -340,9 +350,11 @@ class Store:
             newest.select("event_date", F.col("batch_id").alias("last")), "event_date").where(
             "batch_id < last").collect()  # a row per folder to remove
         path = self.path("reconciled_order_events")
-        (self.spark.read.parquet(scratch).hint("rebalance", "event_date").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch_id")
-         .parquet(path))
+        layout = ("event_date", "batch_id", "customer_id", *reversed(S.GOLD_KEY))
+        (self.spark.read.parquet(scratch).repartitionByRange(*layout).sortWithinPartitions(*layout)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .options(**bloom_filters("customer_id", "order_id"))
+         .partitionBy("event_date", "batch_id").parquet(path))
         for row in old:
             remove_folder(self.spark, f"{path}/event_date={row.event_date}/batch_id={row.batch_id}")
 
