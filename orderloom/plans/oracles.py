@@ -49,6 +49,14 @@ def _hourly(where: str) -> str:
         FROM gold WHERE {where} GROUP BY 1, 2"""
 
 
+# The events of a view on three days in a row, at the time of day they had.
+_MOVED = """
+    SELECT * REPLACE (TIMESTAMP '2001-07-01' + to_microseconds(
+        (k % 3) * 86400000000 + (k % 86400) * 1000000
+        + (epoch_us(event_timestamp) - (k % 86400) * 1000000) % 86400000000) AS event_timestamp)
+    FROM {}"""
+
+
 def _day_before(day: str, column: str = "event_timestamp") -> str:
     return (f"{column} >= TIMESTAMP '{day}' - INTERVAL 1 DAY AND {column} < TIMESTAMP '{day}'")
 
@@ -297,6 +305,10 @@ def oracles() -> dict[str, str]:
             "payment_sla_met", "payment_latency_seconds", "inventory_id", "inventory_reserved_at",
             "sku", "inventory_sla_met", "inventory_latency_seconds")) + """
         FROM a LEFT JOIN b USING (order_id, event_timestamp)"""
+    upserted = {
+        "p0": "SELECT * FROM pe WHERE attempt = 0", "i0": "SELECT * FROM ie WHERE l_linenumber < 3",
+        "a": matched("oe", "p0", "i0", "TIMESTAMP '2001-07-15 11:00:00'"),
+        "o1": "SELECT * FROM oe WHERE k % 3 <> 0", "b": matched("o1")}
     payment_fields = "payment_id, event_type, event_timestamp, order_id, amount, gateway, status"
     inventory_fields = ("inventory_id, event_type, event_timestamp, order_id, sku, quantity_delta, "
                         "warehouse_id")
@@ -325,11 +337,35 @@ def oracles() -> dict[str, str]:
                 "amount", "CAST(amount AS DOUBLE) AS amount"), "amount", "k"),
         "raw_inventory_first_wins": _first_wins(
             "ie", "inventory_id", inventory_fields, "quantity_delta", "k * 100 - quantity_delta"),
-        "gold_upsert": with_views(
-            upsert, *STREAMS, p0="SELECT * FROM pe WHERE attempt = 0",
-            i0="SELECT * FROM ie WHERE l_linenumber < 3",
-            a=matched("oe", "p0", "i0", "TIMESTAMP '2001-07-15 11:00:00'"),
-            o1="SELECT * FROM oe WHERE k % 3 <> 0", b=matched("o1")),
+        "gold_upsert": with_views(upsert, *STREAMS, **upserted),
+        "customer_lookup": with_views(f"{upsert} WHERE a.customer_id = '77'", *STREAMS, **upserted),
+        "order_lookup": with_views(
+            """SELECT * FROM v WHERE order_id = (
+                   SELECT order_id FROM a WHERE customer_id = '77'
+                   ORDER BY event_timestamp DESC, order_id LIMIT 1)""", *STREAMS, **upserted,
+            v="""SELECT *, CAST(0 AS BIGINT) AS batch_id FROM a UNION ALL
+                 SELECT * REPLACE ('moved-' || customer_id AS customer_id,
+                                   total_amount + 5 AS total_amount), 1 FROM b"""),
+        "archive_backfill": with_views(
+            matched("o3", "p3", "i3", MESSAGES_AS_OF), *STREAMS,
+            o3=_MOVED.format("oe"), i3=_MOVED.format("ie"),
+            p3=f"""SELECT * REPLACE (CAST((CAST(amount * 100 AS BIGINT) % 4900000 + 1) / 100
+                       AS DECIMAL(10,2)) AS amount) FROM ({_MOVED.format("pe")})"""),
+        "raw_payload_variant": with_views(
+            """SELECT source_offset, f NOT IN (1, 2, 23) AS is_json,
+                      CASE WHEN object THEN order_id END AS order_id,
+                      CASE WHEN object THEN event_type END AS event_type,
+                      CASE WHEN object THEN m_time END AS event_time,
+                      CASE WHEN object THEN schema_version END AS schema_version,
+                      CASE WHEN object THEN customer_id END AS customer_id,
+                      CASE WHEN object AND f <> 4 THEN total_amount END AS total_amount,
+                      CASE WHEN f = 25 THEN 'not in the schema' WHEN object THEN currency END
+                          AS currency,
+                      CASE WHEN object THEN 1 END AS quantity,
+                      CASE WHEN object THEN 'DE' END AS country,
+                      CASE WHEN object AND f <> 25 THEN '{"extra":"not in the schema"}' END
+                          AS unknown
+               FROM (SELECT *, f NOT IN (1, 2, 21, 23) AS object FROM om)""", "om"),
         "pipeline_metrics_rate": with_views(
             """SELECT batch_id, batch_timestamp, input_rows, dlq_rows AS dlq_events,
                       dlq_rows AS reconciliation_failures,

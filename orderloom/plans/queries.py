@@ -12,18 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom import schemas as S
-from orderloom.operators import deadletter, gateway, keyed, reconcile as R
+from orderloom.operators import deadletter, gateway, keyed, payload, reconcile as R
 from orderloom.operators.normalise import normalise
 from orderloom.operators.parse import failed_rows, parse, parsed_rows, route
 from orderloom.operators.validate import invalid_rows, validate
-from orderloom.plans import quality, summary
+from orderloom.plans import lookups, quality, summary
 from orderloom.session import work_dir
 from orderloom.sinks.tables import (Store, overwrite_days, pipeline_metrics, read_table,
                                     write_checks)
 from orderloom.sources import archive as archives
 from orderloom.sources import derived as D
 from orderloom.sources.messages import file_messages
-from orderloom.streaming import intake, interval, job, late, progress, streams
+from orderloom.streaming import backfill, intake, interval, job, late, progress, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -191,6 +191,54 @@ def archive_replay(spark, sf):
     return rows.select("event_id", "event_timestamp", "event_type")
 
 
+def _moved(events: DataFrame) -> DataFrame:
+    """The same events on three days in a row, each order with its partners at the time it had, so that
+    the archive has some two hundred folders instead of one per hour of seven years."""
+    day, start = 86400 * 1_000_000, F.col("k") % 86400 * 1_000_000
+    since_order = F.pmod(F.unix_micros("event_timestamp") - start, F.lit(day))
+    first = F.unix_micros(F.lit("2001-07-01").cast("timestamp"))
+    return events.withColumn("event_timestamp", F.timestamp_micros(
+        first + F.col("k") % 3 * day + start + since_order))
+
+
+def _as_messages(events: DataFrame, topic: str, number, **fields) -> DataFrame:
+    """Sound messages from event rows; `fields` replace columns or add to them."""
+    time = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    body = {c: F.col(c) for c in events.columns if c in S.TOPICS[topic].schema}
+    body = {**body, S.TOPICS[topic].time_field: time, **fields}
+    value = F.to_json(F.struct(*[c.alias(name) for name, c in body.items()]))
+    return events.select(
+        F.lit(None).cast("binary").alias("key"), value.cast("binary").alias("value"),
+        F.lit(topic).alias("topic"), F.lit(0).alias("partition"),
+        number.cast("bigint").alias("offset"), F.col("event_timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"))
+
+
+@query
+def archive_backfill(spark, sf):
+    """Gold from an archive alone, in bounded batches and in two runs, the first stopped early."""
+    root = work_dir(spark, "backfill")
+    orders, payments, inventory = (_moved(df) for df in streams_of(spark, sf))
+    k, version = F.col("k"), F.lit("1.0")
+    cents = (F.col("amount") * 100).cast("bigint") % 4900000 + 1  # within the limit of a payment
+    archived = 0
+    for topic, messages in (
+            (S.ORDERS_TOPIC, _as_messages(orders, S.ORDERS_TOPIC, k, schema_version=version)),
+            (S.PAYMENTS_TOPIC, _as_messages(payments, S.PAYMENTS_TOPIC, k * 2 + F.col("attempt"),
+                                            amount=cents / 100)),
+            (S.INVENTORY_TOPIC, _as_messages(inventory, S.INVENTORY_TOPIC, k * 7 + F.col(
+                "l_linenumber"), event_type=F.col("event_type")))):
+        events = job.check_events(messages, topic, None, D.MESSAGES_AS_OF)
+        archives.archive(events.where("failure_reason IS NULL").drop("failure_reason"),
+                         f"{root}/archive/{topic}", 0)
+        archived += spark.read.parquet(f"{root}/archive/{topic}").count()
+    store = Store(spark, f"{root}/tables")
+    for stop_after in (1, None):
+        backfill.backfill(store, "all", f"{root}/archive", "2001-07-01", "2001-07-05",
+                          max_rows=archived // 3 + 1, stop_after=stop_after, as_of=D.MESSAGES_AS_OF)
+    return store.gold()
+
+
 # Keyed tables.
 
 def _deliveries(events: DataFrame, amount: str, number) -> DataFrame:
@@ -234,19 +282,42 @@ def raw_inventory_first_wins(spark, sf):
     return _stored_raw(spark, S.INVENTORY_TOPIC, rows, "quantity_delta")
 
 
-@query
-def gold_upsert(spark, sf):
+def _upserted(spark: SparkSession, sf: str, compact: bool = False) -> Store:
+    """Gold in two batches, the second with other customers and amounts for most orders."""
     orders, payments, inventory = streams_of(spark, sf)
     store = store_of(spark, work_dir(spark, "gold"))
     store.add_gold(R.reconcile(orders, payments.where("attempt = 0"),
                                inventory.where("l_linenumber < 3"),
                                as_of="2001-07-15 11:00:00"), 0)
+    if compact:
+        store.compact_gold(work_dir(spark, "compaction"))
     changed = (orders.where(F.col("k") % 3 != 0)
                .withColumn("customer_id", F.concat(F.lit("moved-"), "customer_id"))
                .withColumn("total_amount", F.col("total_amount") + 5))
     for _ in range(2):  # the second batch is tried twice
         store.add_gold(R.reconcile(changed, payments, inventory, as_of=D.ORDERS_AS_OF), 1)
-    return store.gold()
+    return store
+
+
+@query
+def gold_upsert(spark, sf):
+    return _upserted(spark, sf).gold()
+
+
+@query
+def customer_lookup(spark, sf):
+    """A customer's orders over stored gold, the first batch of it compacted."""
+    return lookups.orders_of_customer(_upserted(spark, sf, compact=True), "77")
+
+
+@query
+def order_lookup(spark, sf):
+    """Versions of an order of that customer, and the row they resolve to."""
+    store = _upserted(spark, sf, compact=True)
+    newest = lookups.orders_of_customer(store, "77").first()
+    if newest is None:
+        return lookups.order_history(store, "")
+    return lookups.order_history(store, newest.order_id)
 
 
 def _with_changes(spark: SparkSession, sf: str) -> Store:
@@ -350,6 +421,18 @@ def parse_lenient(spark, sf):
     return rows.select("source_offset", "order_id", "total_amount")
 
 
+@query
+def raw_payload_variant(spark, sf):
+    """Order messages as payloads; in version 2.0 the currency lies at another path."""
+    parsed = payload.with_payload(D.order_messages(spark, sf), S.ORDERS_TOPIC)
+    rows = payload.payload_fields(parsed, S.ORDERS_TOPIC, {"2.0": {"currency": "$.extra"}})
+    return rows.select(
+        "source_offset", F.col("payload").isNotNull().alias("is_json"), "order_id", "event_type",
+        F.col("event_timestamp").alias("event_time"), "schema_version", "customer_id",
+        "total_amount", "currency", F.col("items")[0]["quantity"].alias("quantity"),
+        F.col("shipping_address.country").alias("country"), "unknown")
+
+
 @query
 def route_by_topic(spark, sf):
     return route(D.messages(spark, sf), S.INVENTORY_TOPIC).select("topic", "partition", "offset")

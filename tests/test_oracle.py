@@ -15,7 +15,8 @@ from orderloom.plans.queries import QUERIES  # noqa: E402
 SF = "/root/testdata/sf0.001"
 SLOW = {"archive_partitions", "archive_replay", "raw_orders_first_wins", "raw_payments_first_wins",
         "raw_inventory_first_wins", "gold_upsert", "summary_rerun_idempotent",
-        "incremental_reconcile", "src_single_topic", "src_multi_topic", "gateway_two_stage"}
+        "incremental_reconcile", "archive_backfill", "customer_lookup", "order_lookup",
+        "src_single_topic", "src_multi_topic", "gateway_two_stage"}
 
 
 def is_slow(name):
