@@ -1,7 +1,7 @@
 """Operator 9: language of words and documents by a linear-chain conditional random field.
 
 Training takes a bounded sample: `per_label` documents of each label, the ones of lowest hash among
-those not held out, and of each at most `words_per_text` words. Nothing else is bounded: prediction
+those not held out, of each at most `words_per_text` words, and at most `max_labels` labels. Nothing else is bounded: prediction
 labels every word of every text. A sequence is a line, cut after `SEQUENCE` words, so that
 code-switched text changes label between words and long lines cost no more memory.
 
@@ -33,22 +33,34 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, per_label: int = 250, words_per_text: int = 150) -> Model:
-    """Learns from text and lang of documents that are not held out."""
-    keys = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()).select(
-        "doc_id", "lang", F.xxhash64("doc_id", F.lit(9)).alias("_h"))
-    chosen = keys.withColumn("_n", F.row_number().over(
-        Window.partitionBy("lang").orderBy("_h", "doc_id"))).where(
-        F.col("_n") <= per_label).select("doc_id").distinct()
-    # At most per_label rows for each label.
-    texts = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id").where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang").collect()
-    cut = []
-    for text, lang in sorted(map(tuple, texts)):
-        words = WORD.findall(text.lower())[:words_per_text]
-        if words:
-            cut.append((" ".join(words), lang))
-    return fit(cut)
+def train(docs: DataFrame, per_label: int = 250, words_per_text: int = 150,
+          max_labels: int = 256) -> Model:
+    """Learns from text and lang of documents that are not held out.
+
+    At most `max_labels` labels are learned, those of most documents (ties: first in order), and at
+    most `per_label` texts of each, cut to `words_per_text` words before they leave the executors. So
+    the driver gets at most `max_labels * per_label * words_per_text` words. Rows alike count once.
+    """
+    print_of = F.xxhash64("text")
+    keys = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()).groupBy(
+        "lang", "doc_id", print_of.alias("print")).agg(F.count("*").alias("n"))
+    labels = keys.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(
+        max_labels)
+    chosen = keys.drop("n").join(F.broadcast(labels.select("lang")), "lang").withColumn(
+        "place", F.row_number().over(Window.partitionBy("lang").orderBy(
+            F.xxhash64("doc_id", F.lit(9)), "doc_id", "print"))).where(
+        F.col("place") <= per_label).drop("place")
+    # At most per_label rows for each of max_labels labels.
+    texts = docs.select("lang", "doc_id", print_of.alias("print"), "text").where(
+        F.col("text").isNotNull()).join(F.broadcast(chosen), ["lang", "doc_id", "print"])
+
+    def task(part: dict[str, list]) -> dict[str, list]:
+        found = [WORD.findall(text.lower())[:words_per_text] for text in part["text"]]
+        return {"lang": part["lang"], "doc_id": part["doc_id"], "words": [" ".join(w) for w in found]}
+
+    cut = per_slice(texts.select("lang", "doc_id", "text"), task, columns(
+        "lang string, doc_id bigint, words string")).distinct().where("words <> ''")
+    return fit(sorted((r.words, r.lang) for r in cut.collect()))
 
 
 def label_texts(texts: list[str | None], model: Model) -> list[tuple[str, float, int, list[str]]]:

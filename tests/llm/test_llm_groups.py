@@ -1,5 +1,6 @@
 """Line dedup, the set join, language and the pipeline."""
 
+import collections
 import itertools
 import random
 import re
@@ -312,6 +313,23 @@ def test_language_of_awkward_rows(spark):
     assert language.identify(df.limit(0)).count() == 0
 
 
+def test_the_sample_is_bounded_before_it_leaves_the_tasks(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda texts: seen.append(texts))
+    free = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(free[0], "same row again", "en")] * 500  # one id, one text
+    rows += [(free[1], f"text number {'x' * n}", "en") for n in range(1, 41)]  # one id, many texts
+    rows += [(i, "lang wort " * 5000, "de") for i in free[2:40]] + [(free[41], "mot", "fr")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    language.train(df, per_label=20, words_per_text=7)
+    counts = collections.Counter(lang for _, lang in seen[0])
+    assert counts == {"en": 20, "de": 20, "fr": 1}
+    assert sum(text == "same row again" for text, _ in seen[0]) <= 1
+    assert all(len(text.split()) <= 7 for text, _ in seen[0])
+    language.train(df, per_label=20, words_per_text=7, max_labels=2)
+    assert {lang for _, lang in seen[1]} == {"en", "de"}
+
+
 # pipeline ---------------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark):

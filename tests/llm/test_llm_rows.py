@@ -109,6 +109,22 @@ def test_decontamination(spark, max_chars):
     assert not any(r.n_hit for r in decontaminate.benchmark_hits(docs, bench.limit(0)).collect())
 
 
+def test_blocks_of_a_benchmark_are_one_at_a_time(spark):
+    words = [f"w{i}" for i in range(600)]
+    items = [(i, " ".join(words[i * 20:i * 20 + 20])) for i in range(30)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    blocks = decontaminate.item_blocks(bench.selectExpr("item_id", "text"), 700)
+    first = next(blocks)
+    rest = list(blocks)
+    assert len(rest) > 1 and 0 < len(first) < 30
+    assert sorted(i for b in [first, *rest] for i, _ in b) == sorted(str(i) for i, _ in items)
+    docs = spark.createDataFrame([(i, " ".join(words[i * 7:i * 7 + 90])) for i in range(80)],
+                                 "doc_id bigint, text string")
+    whole, parted = ({r.doc_id: (r.n_hit, r["items"], r.spans) for r in decontaminate.benchmark_hits(
+        docs, bench, max_chars=size).collect()} for size in (10 ** 6, 700))
+    assert whole == parted and any(n for n, *_ in whole.values())
+
+
 # credentials ------------------------------------------------------------------------------------
 
 ASSIGN = re.compile("([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]"
