@@ -6,7 +6,7 @@ shards: a phrase with the global support must have that much in at least one of
 locally frequent phrases, less those that cannot reach the support even if they fell just short of it
 in every other shard, goes into a bit table of their hashes. Second pass: all occurrences of the
 phrases in that table are counted over all texts, exactly and by the words themselves; the counts
-of a task's share of text are combined before the shuffle. A phrase that finds its bits set by others
+of a shard are combined before the shuffle. A phrase that finds its bits set by others
 costs a row more and changes nothing: what lacks the support falls out after counting.
 
 A shard holds up to `LARGE_SHARD` bytes, so with support s the local support of a language falls to one
@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.llm.common import arrow_schema, columns, per_slice, ship, written
 from orderloom.llm.shingles import mixed
@@ -38,8 +39,8 @@ _FOLD = bytes(ord(".") if chr(c) in ".,;:!?\n\v\f\r" else c + 32 if 65 <= c <= 9
 #: Bytes of a shard: a language has SHARDS of them, fewer if they came below the smaller size, more if
 #: they came above the larger.
 SMALL_SHARD, LARGE_SHARD, SHARDS = 2_000_000, 96_000_000, 16
-#: Words that a task of the second pass counts at once, and positions of a chunk of a level.
-WORDS_AT_ONCE, CHUNK = 2_000_000, 2_000_000
+#: Phrases that the second pass spells out at once, and positions of a chunk of a level.
+ROWS_AT_ONCE, CHUNK = 100_000, 2_000_000
 #: Bits of the table for each locally frequent phrase at least, of which PROBES are set, and bits of the
 #: whole table at most.
 BITS_EACH, PROBES, MOST_BITS = 16, 4, 1 << 29
@@ -131,22 +132,14 @@ def shards_of(texts: DataFrame) -> DataFrame:
         F.greatest(F.lit(1), few, F.ceil(size / LARGE_SHARD)).cast("bigint").alias("shards")), "shards")
 
 
-def locally_frequent(texts: DataFrame, support: int, longest: int) -> DataFrame:
-    """Hashes of the phrases that a shard finds frequent and that may be so altogether, stored."""
+def per_shard(texts: DataFrame, shards: DataFrame, schema: T.StructType,
+              task: Callable[[Words, str, int], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """Applies `task` to the words of each shard, its language and that language's number of shards."""
     ship(texts.sparkSession)
-    schema = arrow_schema(LOCAL)
-    shards = shards_of(texts)
     total = shards.agg(F.sum("shards")).first()[0] or 1
     dealt = texts.withColumn("row", F.monotonically_increasing_id()).join(shards, "lang").select(
         "lang", "shards", F.pmod(F.xxhash64("row"), "shards").alias("shard"), "text")
 
-    def mined(words: Words, lang: str, shards: int) -> Iterator[pa.RecordBatch]:
-        least = -(-support // shards)
-        for _, n, h, _ in words.levels(longest, lambda n, h: n >= least):
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(n), "string"), pa.array(np.full(len(n), shards)),
-                pa.array(h.view("i8")), pa.array(n, "int64")], schema=schema)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, words = None, None
         for batch in batches:
@@ -155,14 +148,28 @@ def locally_frequent(texts: DataFrame, support: int, longest: int) -> DataFrame:
                 here = (lang.as_py(), shards.as_py(), shard.as_py())
                 if here != at:
                     if words:
-                        yield from mined(words, at[0], at[1])
+                        yield from task(words, at[0], at[1])
                     at, words = here, Words(here[0])
                 words.add(text.as_py())
         if words:
-            yield from mined(words, at[0], at[1])
+            yield from task(words, at[0], at[1])
+
+    return dealt.repartition(int(total), "lang", "shard").sortWithinPartitions(
+        "lang", "shard").mapInArrow(run, schema)
+
+
+def locally_frequent(texts: DataFrame, shards: DataFrame, support: int, longest: int) -> DataFrame:
+    """Hashes of the phrases that a shard finds frequent and that may be so altogether, stored."""
+    schema = arrow_schema(LOCAL)
 
-    found = dealt.repartition(int(total), "lang", "shard").sortWithinPartitions(
-        "lang", "shard").mapInArrow(run, LOCAL)
+    def mined(words: Words, lang: str, shards: int) -> Iterator[pa.RecordBatch]:
+        least = -(-support // shards)
+        for _, n, h, _ in words.levels(longest, lambda n, h: n >= least):
+            yield pa.RecordBatch.from_arrays([
+                pa.array([lang] * len(n), "string"), pa.array(np.full(len(n), shards)),
+                pa.array(h.view("i8")), pa.array(n, "int64")], schema=schema)
+
+    found = per_shard(texts, shards, LOCAL, mined)
     short = F.ceil(F.lit(support) / F.col("shards")) - 1  # what a shard that is silent may hold
     return written(found.groupBy("lang", "hash", "shards").agg(
         F.sum("n").alias("n"), F.count("*").alias("told")).where(
@@ -201,13 +208,16 @@ def probes(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
         yield (((hashes & np.uint64(MOST_BITS - 1)) + np.uint64(i) * step) & np.uint64(bits - 1)).astype("i8")
 
 
-def counted(texts: DataFrame, table: np.ndarray, longest: int) -> DataFrame:
-    """lang, phrase, n: all occurrences of the phrases in the table; phrase '' for all words. Stored."""
-    ship(texts.sparkSession)
+def counted(texts: DataFrame, shards: DataFrame, table: np.ndarray, longest: int) -> DataFrame:
+    """lang, phrase, n: all occurrences of the phrases in the table; phrase '' for all words. Stored.
+
+    Counted per shard, as a phrase then makes at most one row in each: a frequent phrase stands in nearly
+    every share of the text, so the rows to shuffle are fewest when the shares are large.
+    """
     sent = texts.sparkSession.sparkContext.broadcast(table)
     schema = arrow_schema(COUNTS)
 
-    def partial(pending: dict[str, Words]) -> Iterator[pa.RecordBatch]:
+    def named(words: Words, lang: str, _: int) -> Iterator[pa.RecordBatch]:
         bits = sent.value
 
         def known(_: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -216,31 +226,18 @@ def counted(texts: DataFrame, table: np.ndarray, longest: int) -> DataFrame:
                 found &= bits[at >> 3] >> (at & 7).astype("u1") & 1
             return found.astype(bool)
 
-        for lang, words in pending.items():
-            for length, n, _, places in words.levels(longest, known):
+        for length, n, _, places in words.levels(longest, known):
+            for i in range(0, len(n), ROWS_AT_ONCE):
+                part = n[i:i + ROWS_AT_ONCE]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * len(n), "string"), pa.array(words.spelled(length, places), "string"),
-                    pa.array(n, "int64")], schema=schema)
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([""]), pa.array([words.total])],
-                                             schema=schema)
+                    pa.array([lang] * len(part), "string"),
+                    pa.array(words.spelled(length, places[i:i + ROWS_AT_ONCE]), "string"),
+                    pa.array(part, "int64")], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([""]), pa.array([words.total])],
+                                         schema=schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: dict[str, Words] = {}
-        size = 0
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-                if lang not in pending:
-                    pending[lang] = Words(lang)
-                before = pending[lang].size
-                pending[lang].add(text.as_py())
-                size += pending[lang].size - before
-                if size >= WORDS_AT_ONCE:
-                    yield from partial(pending)
-                    pending, size = {}, 0
-        yield from partial(pending)
-
-    return written(texts.mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n")),
-                   "counts")
+    return written(per_shard(texts, shards, COUNTS, named).groupBy("lang", "phrase").agg(
+        F.sum("n").alias("n")), "counts")
 
 
 def cuts(frequent: DataFrame, totals: DataFrame) -> DataFrame:
@@ -290,7 +287,9 @@ def collocations(docs: DataFrame, support: int = 100, longest: int = 5, top: int
                  percent: int = 100) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the `top` phrases of each language."""
     texts = texts_of(docs)
-    counts = counted(texts, bit_table(locally_frequent(texts, support, longest)), longest)
+    shards = shards_of(texts)
+    table = bit_table(locally_frequent(texts, shards, support, longest))
+    counts = counted(texts, shards, table, longest)
     frequent = written(counts.where((F.col("n") >= support) & (F.col("phrase") != "")), "frequent")
     totals = counts.where("phrase = ''").select("lang", "n")
     made = written(scored(cuts(frequent, totals).join(
