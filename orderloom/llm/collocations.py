@@ -125,37 +125,38 @@ def texts_of(docs: DataFrame) -> DataFrame:
 
 
 def shards_of(texts: DataFrame) -> DataFrame:
-    """lang and the number of its shards, as a stored table."""
+    """lang, the number of its shards and of those of the languages before it, as a stored table."""
     size = F.sum(F.octet_length("text"))
     few = F.least(F.lit(SHARDS), F.ceil(size / SMALL_SHARD))
-    return written(texts.groupBy("lang").agg(
-        F.greatest(F.lit(1), few, F.ceil(size / LARGE_SHARD)).cast("bigint").alias("shards")), "shards")
+    sizes = texts.groupBy("lang").agg(
+        F.greatest(F.lit(1), few, F.ceil(size / LARGE_SHARD)).cast("bigint").alias("shards"))
+    upto = F.sum("shards").over(Window.orderBy("lang"))  # one row per language
+    return written(sizes.withColumn("first", upto - F.col("shards")), "shards")
 
 
 def per_shard(texts: DataFrame, shards: DataFrame, schema: T.StructType,
               task: Callable[[Words, str, int], Iterator[pa.RecordBatch]]) -> DataFrame:
-    """Applies `task` to the words of each shard, its language and that language's number of shards."""
+    """Applies `task` to the words of each shard, its language and that language's number of shards.
+
+    Shards are numbered through and each is a partition of its own: by hash, several would meet in one.
+    """
     ship(texts.sparkSession)
     total = shards.agg(F.sum("shards")).first()[0] or 1
     dealt = texts.withColumn("row", F.monotonically_increasing_id()).join(shards, "lang").select(
-        "lang", "shards", F.pmod(F.xxhash64("row"), "shards").alias("shard"), "text")
+        "lang", "shards", (F.col("first") + F.pmod(F.xxhash64("row"), "shards")).alias("shard"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, words = None, None
+        held: dict[int, tuple[Words, str, int]] = {}
         for batch in batches:
-            for lang, shards, shard, text in zip(*(batch.column(c) for c in (
-                    "lang", "shards", "shard", "text")), strict=True):
-                here = (lang.as_py(), shards.as_py(), shard.as_py())
-                if here != at:
-                    if words:
-                        yield from task(words, at[0], at[1])
-                    at, words = here, Words(here[0])
-                words.add(text.as_py())
-        if words:
-            yield from task(words, at[0], at[1])
-
-    return dealt.repartition(int(total), "lang", "shard").sortWithinPartitions(
-        "lang", "shard").mapInArrow(run, schema)
+            for lang, shards, shard, text in zip(*(batch.column(c).to_pylist() for c in (
+                    "lang", "shards", "shard")), batch.column("text"), strict=True):
+                if shard not in held:
+                    held[shard] = Words(lang), lang, shards
+                held[shard][0].add(text.as_py())
+        while held:
+            yield from task(*held.popitem()[1])
+
+    return dealt.repartitionById(int(total), F.col("shard").cast("int")).mapInArrow(run, schema)
 
 
 def locally_frequent(texts: DataFrame, shards: DataFrame, support: int, longest: int) -> DataFrame:
