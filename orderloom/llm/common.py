@@ -7,7 +7,7 @@ import io
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,11 +68,29 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_parts(parts: Iterable[DataFrame], label: str) -> DataFrame:
+    """One table of several frames of like columns, written one after the other, so that the shuffle
+    files of one are gone when the next is computed."""
+    paths = []
+    for part in parts:
+        made = written(part, label)
+        paths.append(_scratch[-1])
+    return made.sparkSession.read.schema(made.schema).parquet(*paths)
+
+
 def scratch_mark() -> int:
     """Where the tables written from now on begin; see `discard`."""
     return len(_scratch)
 
 
+def drop_scratch(spark: SparkSession, since: int, upto: int) -> None:
+    """Removes the scratch tables between two marks; for whoever wrote them and reads them no more."""
+    for i in range(since, upto):
+        if _scratch[i]:
+            remove_folder(spark, _scratch[i])
+            _scratch[i] = ""
+
+
 def discard(docs: DataFrame, since: int, upto: int) -> None:
     """Removes the scratch tables between two marks, but for those that `docs` still reads."""
     files = docs.inputFiles()

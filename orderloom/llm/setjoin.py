@@ -32,12 +32,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import arrow_schema, columns, fresh, per_slice, ship, slices, written
+from orderloom.llm.common import (
+    arrow_schema, columns, drop_scratch, fresh, per_slice, scratch_mark, ship, slices, written,
+    written_parts)
 from orderloom.llm.components import components
 from orderloom.llm.shingles import BITMAP, bitmap, shingle_set, signatures
 
+#: Slices of the signatures. The index is made one slice after the other, so that the shuffle files on
+#: disk at a time are those of one; a slice is a column, and only that is read.
+SLICES = 4
+PARTS = [f"parts{i}" for i in range(SLICES)]
 SETS = columns("uid bigint, doc_id bigint, k_hash bigint, n bigint, set_hi bigint, set_lo bigint,"
-               "parts bigints, bits bigints")
+               "bits bigints," + ",".join(f"{c} bigints" for c in PARTS))
 CHECKED = columns("a bigint, b bigint, overlap bigint, n_a bigint, n_b bigint")
 NO_ID = (1 << 63) - 1
 WORDS = BITMAP // 64
@@ -52,9 +58,11 @@ def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
                                              strict=True):
             members = shingle_set(text, k)
             digest = np.frombuffer(xxhash.xxh3_128_digest(members.tobytes()), "<i8")
+            signed = signatures(members, percent) if len(members) else np.zeros(0, "u8")
+            own = signed % np.uint64(SLICES)
             row = (uid, doc_id, k_hash, len(members), int(digest[0]), int(digest[1]),
-                   signatures(members, percent).view("i8") if len(members) else [],
-                   bitmap(members) if len(members) else [])
+                   bitmap(members) if len(members) else [],
+                   *[signed[own == i].view("i8") for i in range(SLICES)])
             for name, value in zip(SETS.names, row, strict=True):
                 out[name].append(value)
         return out
@@ -99,17 +107,24 @@ def checked(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
         run, CHECKED), "checked")
 
 
+def entries_of(sets: DataFrame, reps: DataFrame) -> Iterator[DataFrame]:
+    """Per slice: list, pivot, uid, n of the lists with more than one set."""
+    for c in PARTS:
+        own = sets.select("uid", "n", F.col(c).alias("parts")).join(reps, "uid", "left_semi")
+        entries = own.select("uid", "n", F.explode("parts").alias("part"))
+        since = scratch_mark()
+        lists = written(entries.groupBy("part").agg(
+            F.min("uid").alias("pivot"), F.max("uid").alias("_last")).where("pivot <> _last").select(
+            F.col("part").alias("list"), "pivot"), "lists")
+        yield entries.join(lists, F.col("part") == F.col("list")).select("list", "pivot", "uid", "n")
+        drop_scratch(sets.sparkSession, since, since + 1)
+
+
 def set_links(sets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) between representatives of equal sets, enough to connect every component."""
     reps = written(sets.where("n > 0").groupBy("set_hi", "set_lo").agg(F.min("uid").alias("rep")),
                    "representatives")
-    own = sets.join(reps.select(F.col("rep").alias("uid")), "uid", "left_semi")
-    entries = own.select("uid", "n", F.explode("parts").alias("part"))
-    lists = written(entries.groupBy("part").agg(
-        F.min("uid").alias("pivot"), F.max("uid").alias("_last")).where("pivot <> _last").select(
-        F.col("part").alias("list"), "pivot"), "lists")
-    shared = written(entries.join(lists, F.col("part") == F.col("list")).select(
-        "list", "pivot", "uid", "n"), "entries")
+    shared = written_parts(entries_of(sets, reps.select(F.col("rep").alias("uid"))), "entries")
     there = shared.select("uid").distinct().join(
         sets.select("uid", "doc_id", "k_hash", "bits", "n"), "uid")
     there = written(there, "candidates")
