@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import columns, fresh, per_slice, written
+from orderloom.llm.common import columns, drop_scratch, fresh, per_slice, scratch_mark, written
 from orderloom.llm.linededup import MIN_WORDS, WORD, applied, keyed
 
 SEGMENTS = columns("k_id bigint, k_hash bigint, start int, n int, print bigint, whole bigint")
@@ -161,10 +161,12 @@ def met(rows: DataFrame, owners: DataFrame) -> DataFrame:
 
 def later_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """k_id, k_hash, matches: stretches of words (first, end) that stood before."""
+    since = scratch_mark()
     stored = written(per_slice(keyed(docs), lambda part: segments(part, min_words), SEGMENTS), "segments")
     often = written(stored.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select(
         F.col("print").alias("repeated")), "prints")
     rows = written(stored.join(often, F.col("print") == F.col("repeated"), "left_semi"), "repeated")
+    drop_scratch(docs.sparkSession, since, since + 2)
     kinds = owned(rows.withColumn("start", F.struct("start", "n")), "kinds")
     firsts = kinds.select("o_print", "o_whole", "o_n", F.struct(
         "o.k_id", "o.k_hash", F.col("o.start.start").alias("start")).alias("o"))
