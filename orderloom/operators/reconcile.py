@@ -9,6 +9,7 @@ from orderloom import schemas as S
 from orderloom.functions.skew import left_join_unique
 from orderloom.functions.times import latency_seconds, moment, plus_seconds, within_seconds
 
+SLICE_SECONDS = 10 * S.JOIN_WINDOW_SECONDS
 UNMATCHED = "NO_PAYMENT_OR_INVENTORY_WITHIN_WINDOW"
 
 _KEYED = "order_id IS NOT NULL AND event_timestamp IS NOT NULL"
@@ -66,31 +67,33 @@ def timeline(orders: DataFrame, payments: DataFrame, inventory: DataFrame) -> Da
 
 def reconcile(orders: DataFrame, payments: DataFrame, inventory: DataFrame, *,
               join_window: int = S.JOIN_WINDOW_SECONDS, sla: int = S.SLA_SECONDS,
-              inventory_sla: int | None = None, slice_seconds: int = S.JOIN_WINDOW_SECONDS,
+              inventory_sla: int | None = None, slice_seconds: int = SLICE_SECONDS,
               as_of=None) -> DataFrame:
     """Each created order with its earliest confirmed payment and reservation in the window.
 
     Both matches are forward as-of lookups: the earliest event from the order's time up to
     `join_window` seconds later, ends included, smallest id first among equal times. They are read
     off one sorted pass over the timeline, so candidates are never paired with each other.
-    Work is split by order id and time slice, no wider than the window unless asked for. A payment or reservation close to a slice's start is
-    also placed in the slice before, where an order may still be waiting for it.
+    Work is split by order id and time slice. A payment or reservation less than a window after a
+    slice's start is also placed in the slice before, where an order may still be waiting for it: of
+    slices ten windows wide that is one in ten, of slices as wide as the window it would be all.
     """
     width = max(slice_seconds, join_window)
     second = F.unix_seconds("event_timestamp")
     own = F.floor(second / F.lit(width))
     earliest = F.when(F.col("paid").isNotNull() | F.col("stocked").isNotNull(),
                       F.floor((second - F.lit(join_window)) / F.lit(width))).otherwise(own)
+    # Shuffled here, as narrow as the rows are: a leg takes up its time only after that.
     sliced = (
         timeline(created_orders(orders), confirmed_payments(payments), reservations(inventory))
-        .select(
-            "order_id", "event_timestamp", own.alias("own"),
-            F.explode(F.sequence(earliest, own)).alias("slice"), "placed",
-            F.when(F.col("paid").isNotNull(), F.struct(
-                F.col("event_timestamp").alias("at"), "paid.*")).alias("paid"),
-            F.when(F.col("stocked").isNotNull(), F.struct(
-                F.col("event_timestamp").alias("at"), "stocked.*")).alias("stocked"))
-        .withColumn("placed", F.when(F.col("slice") == F.col("own"), F.col("placed"))))
+        .select("order_id", "event_timestamp", "placed", "paid", "stocked",
+                F.explode(F.sequence(earliest, own)).alias("slice"))
+        .withColumn("placed", F.when(F.col("slice") == own, F.col("placed")))
+        .repartition("order_id", "slice")
+        .select("order_id", "event_timestamp", "slice", "placed", *[
+            F.when(F.col(leg).isNotNull(), F.struct(
+                F.col("event_timestamp").alias("at"), f"{leg}.*")).alias(leg)
+            for leg in ("paid", "stocked")]))
     # Latest first: the last leg seen so far is the nearest one at or after the row's own time.
     onward = (Window.partitionBy("order_id", "slice").orderBy(F.col("event_timestamp").desc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
