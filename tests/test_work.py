@@ -31,6 +31,14 @@ def test_changes_of_gold_come_from_one_match(spark, seen, monkeypatch):
     assert len(plans) == 4 and not any("Exchange" in p for p in plans)
 
 
+def test_summary_reruns_share_one_match(spark, seen, monkeypatch):
+    tables = seen(queries.summary, "hourly_sla_summary", lambda gold, as_of: gold, None)
+    monkeypatch.setattr(queries, "overwrite_days", lambda *a: None)
+    with pytest.raises(Exception):  # nothing was written to read back
+        queries.QUERIES["summary_rerun_idempotent"](spark, SF)
+    assert len(tables) == 3 and not any("Exchange" in p for p in tables)
+
+
 def test_few_legs_are_placed_in_two_slices(spark):
     width = R.reconcile.__kwdefaults__["slice_seconds"]
     assert S.JOIN_WINDOW_SECONDS / width <= 0.1
