@@ -42,3 +42,9 @@ def test_summary_reruns_share_one_match(spark, seen, monkeypatch):
 def test_few_legs_are_placed_in_two_slices(spark):
     width = R.reconcile.__kwdefaults__["slice_seconds"]
     assert S.JOIN_WINDOW_SECONDS / width <= 0.1
+
+
+def test_rejects_are_found_in_one_reading(spark):
+    df = queries.QUERIES["dlq_from_invalid"](spark, SF)
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json(") == len(S.TOPICS)
