@@ -39,6 +39,14 @@ def test_summary_reruns_share_one_match(spark, seen, monkeypatch):
     assert len(tables) == 3 and not any("Exchange" in p for p in tables)
 
 
+def test_both_runs_of_the_checks_share_one_match(spark, seen, monkeypatch):
+    golds = seen(queries.quality, "all_checks", lambda raw, gold, *rest: gold, None)
+    monkeypatch.setattr(queries, "write_checks", lambda *a: None)
+    with pytest.raises(Exception):
+        queries.QUERIES["quality_all"](spark, SF).collect()
+    assert len(golds) == 2 and not any("Exchange" in p for p in golds)
+
+
 def test_few_legs_are_placed_in_two_slices(spark):
     width = R.reconcile.__kwdefaults__["slice_seconds"]
     assert S.JOIN_WINDOW_SECONDS / width <= 0.1
