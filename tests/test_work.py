@@ -47,6 +47,15 @@ def test_both_runs_of_the_checks_share_one_match(spark, seen, monkeypatch):
     assert len(golds) == 2 and not any("Exchange" in p for p in golds)
 
 
+def test_gold_of_the_live_summary_is_made_before_the_stream(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(queries, "play", lambda spark, slices, run: plans.extend(
+        plan(rows) for part in slices for rows in part.values()))
+    with pytest.raises(Exception):
+        queries.QUERIES["stream_hourly_sla"](spark, SF).collect()
+    assert len(plans) == 2 and not any("Exchange" in p for p in plans)
+
+
 def test_few_legs_are_placed_in_two_slices(spark):
     width = R.reconcile.__kwdefaults__["slice_seconds"]
     assert S.JOIN_WINDOW_SECONDS / width <= 0.1
