@@ -31,6 +31,12 @@ def test_changes_of_gold_come_from_one_match(spark, seen, monkeypatch):
     assert len(plans) == 4 and not any("Exchange" in p for p in plans)
 
 
+def test_second_try_of_an_upsert_has_the_rows_of_the_first(spark, seen):
+    plans = seen(Store, "add_gold", lambda self, rows, batch: rows, {})
+    queries._upserted(spark, SF)
+    assert ["Exchange" in p for p in plans] == [True, False, False]
+
+
 def test_summary_reruns_share_one_match(spark, seen, monkeypatch):
     tables = seen(queries.summary, "hourly_sla_summary", lambda gold, as_of: gold, None)
     monkeypatch.setattr(queries, "overwrite_days", lambda *a: None)
