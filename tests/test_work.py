@@ -1,6 +1,7 @@
 """Queries that use rows several times compute them once, and read each message once."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom import schemas as S
 from orderloom.operators import reconcile as R
@@ -71,3 +72,25 @@ def test_rejects_are_found_in_one_reading(spark):
     df = queries.QUERIES["dlq_from_invalid"](spark, SF)
     text = df._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("from_json(") == len(S.TOPICS)
+
+
+def test_stream_slices_are_cut_in_one_writing(spark, tmp_path):
+    path, out = str(tmp_path / "in"), []
+    rows = spark.range(12, numPartitions=3)
+    schema = rows.schema
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(f"{path}/*")
+        return queries.streams.each_batch(
+            stream, lambda df, n: out.append((n, sorted(r.id for r in df.collect()))),
+            str(tmp_path / "cp"))
+
+    part = F.when(F.col("id") < 5, 0).when(F.col("id") < 11, 2)  # none in 1, one row in none
+    queries.play_cut(spark, rows, part, 3, path, run)
+    assert [ids for n, ids in out if ids] == [[0, 1, 2, 3, 4], [5, 6, 7, 8, 9, 10]]
+    assert len(out) == 3
+    empty = str(tmp_path / "none")
+    queries.play_cut(spark, rows.limit(0), part, 1, empty, lambda: queries.streams.each_batch(
+        spark.readStream.schema(schema).parquet(f"{empty}/*"), lambda df, n: out.append(df.count()),
+        str(tmp_path / "cp2")))
+    assert out[-1] == 0
