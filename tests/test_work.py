@@ -94,3 +94,28 @@ def test_stream_slices_are_cut_in_one_writing(spark, tmp_path):
         spark.readStream.schema(schema).parquet(f"{empty}/*"), lambda df, n: out.append(df.count()),
         str(tmp_path / "cp2")))
     assert out[-1] == 0
+
+
+def test_the_text_of_a_raw_event_is_not_shuffled(spark, tmp_path, monkeypatch):
+    from orderloom.sinks import tables
+    shuffled, write = [], tables.write_batch
+
+    def watched(rows, path, *rest):
+        if path.endswith("raw_order_events"):
+            shuffled.append(rows.columns)
+            shuffled.append(plan(rows))
+        return write(rows, path, *rest)
+
+    monkeypatch.setattr(tables, "write_batch", watched)
+    store = Store(spark, str(tmp_path))
+    rows = queries.D.orders_ev(spark, SF).limit(20).drop("k", "ingested_at")
+    found = store.add_raw(rows.unionByName(rows.withColumn("status", F.lit("zz"))),
+                          S.ORDERS_TOPIC, 0, as_of="2024-01-15 10:00:00")
+    assert "raw_payload" not in shuffled[0] and "to_json" not in shuffled[1]
+    assert found["rows"] == 20 and found["raw_payload"] == 0
+    stored = store.raw(S.ORDERS_TOPIC)
+    assert stored.where("status = 'zz'").isEmpty()  # of copies, the first by their columns
+    body = F.from_json("raw_payload", "order_id string, status string, event_timestamp timestamp")
+    assert stored.where((body["order_id"] == F.col("order_id")) & (body["status"] == F.col("status"))
+                        & (body["event_timestamp"] == F.col("event_timestamp"))).count() == 20
+    assert {str(r.ingested_at) for r in stored.collect()} == {"2024-01-15 10:00:00"}
