@@ -30,12 +30,13 @@ HOUR = timedelta(hours=1)
 def archived_messages(spark: SparkSession, path: str, start, end) -> DataFrame:
     """The messages behind archived events with start <= event time < end, all topics.
 
-    The archive keeps the whole text of a message, its topic, offset and broker time; it does not keep
-    key and partition, which the job does not use.
+    The archive keeps the whole text of a message, its offset and broker time, each topic in a folder of
+    its own; it does not keep key and partition, which the job does not use.
     """
     events = reduce(DataFrame.unionByName, [
         replay(spark, f"{path}/{topic}", KEPT, start, end).select(
-            "value", "source_topic", "source_offset", "broker_timestamp") for topic in S.TOPICS])
+            "value", F.lit(topic).alias("source_topic"), "source_offset", "broker_timestamp")
+        for topic in S.TOPICS])  # a known topic: who asks for one opens the files of one
     return events.select(
         F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
         F.col("source_topic").alias("topic"), F.lit(0).alias("partition"),

@@ -119,3 +119,38 @@ def test_the_text_of_a_raw_event_is_not_shuffled(spark, tmp_path, monkeypatch):
     assert stored.where((body["order_id"] == F.col("order_id")) & (body["status"] == F.col("status"))
                         & (body["event_timestamp"] == F.col("event_timestamp"))).count() == 20
     assert {str(r.ingested_at) for r in stored.collect()} == {"2024-01-15 10:00:00"}
+
+
+@pytest.mark.parametrize("topic", list(S.TOPICS))
+def test_a_time_is_read_once_when_an_event_is_judged(spark, topic):
+    checked = queries.job.check_events(
+        queries.MESSAGES[topic](spark, SF), topic, 0, queries.D.MESSAGES_AS_OF, keep_text=False)
+    text = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count(r"^\d{4}-") == 1
+    kept = F.col("failure_reason").isNull()
+    found = checked.agg(
+        F.count_if(kept & F.col("value").isNotNull()).alias("texts"), F.count_if(kept).alias("kept"),
+        F.count_if(~kept & F.col("value").isNotNull()).alias("rejected")).first()
+    assert found.texts == 0 and found.kept > 0 and found.rejected > 0
+
+
+def test_messages_of_one_topic_are_read_from_its_archive_alone(spark, tmp_path):
+    from orderloom.operators.parse import route
+    rows = spark.range(3).select(
+        F.lit("{}").alias("value"), F.lit("x").alias("source_topic"), F.col("id").alias("source_offset"),
+        F.lit("2024-01-15 10:00:00").cast("timestamp").alias("broker_timestamp"),
+        F.lit("2024-01-15 10:00:00").cast("timestamp").alias("event_timestamp"))
+    for topic in S.TOPICS:
+        queries.archives.archive(rows, f"{tmp_path}/{topic}", 0)
+    messages = queries.backfill.archived_messages(spark, str(tmp_path), "2024-01-15", "2024-01-16")
+    one = route(messages, S.PAYMENTS_TOPIC)
+    assert one.count() == 3 and messages.count() == 9
+    assert one._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+
+
+def test_what_is_archived_for_a_backfill_is_not_parsed_first(spark, seen, monkeypatch):
+    monkeypatch.setattr(queries.backfill, "backfill", lambda *a, **k: None)
+    plans = seen(queries.archives, "archive", lambda events, *rest: events, None)
+    with pytest.raises(Exception):  # nothing was archived to count
+        queries.QUERIES["archive_backfill"](spark, SF)
+    assert plans and not any("from_json" in p for p in plans)
