@@ -154,3 +154,26 @@ def test_what_is_archived_for_a_backfill_is_not_parsed_first(spark, seen, monkey
     with pytest.raises(Exception):  # nothing was archived to count
         queries.QUERIES["archive_backfill"](spark, SF)
     assert plans and not any("from_json" in p for p in plans)
+
+
+def test_the_stream_match_keeps_an_order_once(spark, tmp_path):
+    def source(df):
+        path = str(tmp_path / df.columns[0])
+        df.limit(1).write.parquet(path)
+        return spark.readStream.schema(df.schema).parquet(path)
+
+    match = queries.interval.match_stream(
+        *[source(df) for df in (queries.D.orders_ev(spark, SF).drop("k"),
+                                queries.D.payments_ev(spark, SF).drop("k", "attempt"),
+                                queries.D.inventory_ev(spark, SF).drop("k", "l_linenumber"))])
+    text = match._jdf.queryExecution().analyzed().toString()
+    assert text.count("Join LeftOuter") == 1 and text.count("EventTimeWatermark") == 3
+
+
+def test_inputs_of_the_stream_match_are_written_once(spark, monkeypatch):
+    cuts = []
+    monkeypatch.setattr(queries, "cut", lambda spark, rows, part, count, path: cuts.append(
+        (path.rsplit("/", 1)[-1], count)) or (lambda n: rows.limit(0).write.parquet(f"{path}/{n}")),
+        raising=False)
+    assert queries.QUERIES["stream_reconcile"](spark, SF).count() == 0
+    assert cuts == [("orders", 2), ("payments", 2), ("inventory", 2)]
