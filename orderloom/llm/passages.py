@@ -26,17 +26,21 @@ that loses all its words has an empty text. Other columns pass through `edited`
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import columns, drop_scratch, fresh, per_slice, scratch_mark, written
-from orderloom.llm.linededup import MIN_WORDS, WORD, applied, keyed
+from orderloom.llm.linededup import MIN_WORDS, applied, keyed
 
 SEGMENTS = columns("k_id bigint, k_hash bigint, start int, n int, print bigint, whole bigint")
 WINDOWS = columns("k_id bigint, k_hash bigint, start int, print bigint, whole bigint")
 EDIT = columns("n_lines bigint, n_removed_lines bigint, n_cut_lines bigint, n_removed_words bigint,"
                "removed string, cut string")
+#: A line that holds a word, from its first word on.
+WORDED_LINE = re.compile("[^\x20\x09-\x0D][^\n]*")
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -191,49 +195,54 @@ def later_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             (F.col("start") + F.col("n") + F.lit(min_words - 1)).alias("end"))).alias("matches"))
 
 
+def edges(mask: np.ndarray) -> np.ndarray:
+    """Where runs of true begin and end, by turns."""
+    padded = np.zeros(len(mask) + 2, bool)
+    padded[1:-1] = mask
+    return np.flatnonzero(padded[1:] != padded[:-1])
+
+
 def edit(text: str | None, matches: list[dict] | None) -> tuple:
     """The text without its later passages, and the values of EDIT."""
     if text is None:
         return None, 0, 0, 0, 0, "", ""
-    lines = text.split("\n")
     if not matches:
-        return text, sum(WORD.search(x) is not None for x in lines), 0, 0, 0, "", ""
-    spans = [[m.span() for m in WORD.finditer(x)] for x in lines]
-    change = np.zeros(sum(map(len, spans)) + 1, "i8")
+        return text, len(WORDED_LINE.findall(text)), 0, 0, 0, "", ""
+    # Bytes split at the white space between words, and at no other; places are looked up in cut lines only.
+    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
+    sizes = [len(x.split()) for x in lines]
+    change = np.zeros(sum(sizes) + 1, "i8")
     np.add.at(change, [m["first"] for m in matches], 1)
     np.add.at(change, [m["end"] for m in matches], -1)
-    gone = (np.cumsum(change)[:-1] > 0).tolist()
-    kept: list[str] = []
+    gone = np.cumsum(change)[:-1] > 0
+    upto_line = np.concatenate([[0], np.cumsum(gone)])[np.cumsum([0, *sizes])]
+    n_lost = (upto_line[1:] - upto_line[:-1]).tolist()
+    kept: list[bytes] = []
     whole: list[list[int]] = []
     cuts: list[tuple[int, int, int]] = []
     at = n_cut = 0
-    for number, (line, own) in enumerate(zip(lines, spans, strict=True)):
-        lost = gone[at:at + len(own)]
-        at += len(own)
-        if not any(lost):
+    for number, (line, size, n_gone) in enumerate(zip(lines, sizes, n_lost, strict=True)):
+        at += size
+        if not n_gone:
             kept.append(line)
-        elif all(lost):
+        elif n_gone == size:
             if whole and whole[-1][1] == number - 1:
                 whole[-1][1] = number
             else:
                 whole.append([number, number])
         else:
             n_cut += 1
-            pieces, upto, i = [], 0, 0
-            while i < len(own):
-                if not lost[i]:
-                    i += 1
-                    continue
-                j = i
-                while j + 1 < len(own) and lost[j + 1]:
-                    j += 1
-                cuts.append((number, i, j))
-                ends = j + 1 == len(own)
-                pieces.append(line[upto:own[i - 1][1] if ends else own[i][0]])
-                upto = len(line) if ends else own[j + 1][0]
-                i = j + 1
-            kept.append("".join([*pieces, line[upto:]]))
-    return ("\n".join(kept), sum(map(bool, spans)), sum(b - a + 1 for a, b in whole), n_cut, sum(gone),
+            edge, run = edges(~_SPACE[np.frombuffer(line, "u1")]), edges(gone[at - size:at]).tolist()
+            starts, ends = edge[::2], edge[1::2]
+            pieces, upto = [], 0
+            for i, after in zip(run[::2], run[1::2], strict=True):
+                cuts.append((number, i, after - 1))
+                last = after == size
+                pieces.append(line[upto:ends[i - 1] if last else starts[i]])
+                upto = len(line) if last else starts[after]
+            kept.append(b"".join([*pieces, line[upto:]]))
+    return (b"\n".join(kept).decode("utf-8", "surrogatepass"), sum(map(bool, sizes)),
+            sum(b - a + 1 for a, b in whole), n_cut, sum(n_lost),
             ",".join(f"{a}-{b}" for a, b in whole), ",".join(f"{n}:{a}-{b}" for n, a, b in cuts))
 
 

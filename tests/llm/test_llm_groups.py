@@ -371,3 +371,17 @@ def test_stages_take_any_column_names(spark):
         assert made.columns == df.columns
         kept = made.collect()
         assert kept and all(tuple(r[3:]) == tuple(range(len(clashing))) for r in kept)
+
+
+def test_words_of_kept_lines_are_not_looked_up(monkeypatch):
+    """Only the bytes of lines that are cut inside are searched for words."""
+    searched, edges = [], getattr(passages, "edges", None)
+    monkeypatch.setattr(passages, "edges", lambda mask: searched.append(len(mask)) or edges(mask),
+                        raising=False)
+    long = "w\x1cw ü " * 500
+    text = f"{long}\none two  three\tfour\x0b\n \n{long}\ngone gone"
+    assert passages.edit(text, []) == (text, 4, 0, 0, 0, "", "")
+    assert not searched
+    made = passages.edit(text, [{"first": 1001, "end": 1003}, {"first": 2004, "end": 2006}])
+    assert made == (f"{long}\none four\x0b\n \n{long}", 4, 1, 1, 4, "4-4", "1:1-2")
+    assert searched == [len("one two  three\tfour\x0b"), 4]
