@@ -177,3 +177,8 @@ def test_inputs_of_the_stream_match_are_written_once(spark, monkeypatch):
         raising=False)
     assert queries.QUERIES["stream_reconcile"](spark, SF).count() == 0
     assert cuts == [("orders", 2), ("payments", 2), ("inventory", 2)]
+
+
+def test_times_are_read_once_where_lengths_are_checked(spark):
+    df = queries.QUERIES["validate_lengths"](spark, SF)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count(r"^\d{4}-") == len(S.TOPICS)
