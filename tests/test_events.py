@@ -8,7 +8,7 @@ from orderloom.operators.deadletter import (as_messages, dead_letters_from_event
 from orderloom.operators.gateway import flatten
 from orderloom.operators.normalise import normalise
 from orderloom.operators.parse import failed_rows, parse, parsed_rows
-from orderloom.operators.validate import invalid_rows, valid_rows, validate
+from orderloom.operators.validate import invalid_rows, storage_faults, valid_rows, validate
 from pyspark.sql import functions as F
 
 FAR = "2024-01-15T12:05:01+00:00"
@@ -203,3 +203,29 @@ def test_gateway_gaps(spark):
     assert row.order_id.startswith("ORD-") and len(row.order_id) == 36
     assert (row.amount, row.currency, row.event_timestamp, row.gateway_transaction_id) == (
         None, "", None, None)
+
+
+def test_storage_faults_are_those_of_all_rules(spark):
+    """A business fault comes first, also where a text is too long; null texts are not too long."""
+    long = "x" * 51
+    orders = [order_event(order_id="ORD-1"), order_event(order_id=long),
+              order_event(order_id=long, event_timestamp="soon"),
+              order_event(order_id=long, event_timestamp=FAR),
+              order_event(order_id="ORD-2", currency="EURO", total_amount=1e9),
+              order_event(order_id="ORD-3", currency=None, status=None, total_amount=1e9),
+              order_event(order_id="ORD-4", currency=None, customer_id=None, total_amount=None),
+              order_event(order_id="ORD-5", total_amount=-1e9)]
+    stock = [inventory_event(warehouse_id=long), inventory_event(warehouse_id=None),
+             inventory_event(warehouse_id=long, quantity_delta=0)]
+    paid = [payment_event(status=long), payment_event(status=long, amount=50001), payment_event()]
+    found = []
+    for topic, events in ((S.ORDERS_TOPIC, orders), (S.INVENTORY_TOPIC, stock),
+                          (S.PAYMENTS_TOPIC, paid)):
+        rows = parsed_rows(parse(messages(spark, *[(topic, e) for e in events]), topic))
+        fields = ("source_topic", "source_offset", "failure_code", "failure_detail")
+        some = sorted(storage_faults(rows, topic, AS_OF).select(*fields).collect())
+        full = validate(rows, topic, AS_OF).where(
+            "failure_code IN ('VALUE_TOO_LONG', 'VALUE_OUT_OF_RANGE')").select(*fields)
+        assert some == sorted(full.collect())
+        found += [r.failure_code for r in some]
+    assert sorted(found) == ["VALUE_OUT_OF_RANGE"] + ["VALUE_TOO_LONG"] * 4

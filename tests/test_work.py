@@ -182,3 +182,23 @@ def test_inputs_of_the_stream_match_are_written_once(spark, monkeypatch):
 def test_times_are_read_once_where_lengths_are_checked(spark):
     df = queries.QUERIES["validate_lengths"](spark, SF)
     assert df._jdf.queryExecution().optimizedPlan().toString().count(r"^\d{4}-") == len(S.TOPICS)
+
+
+def test_lengths_are_looked_at_before_a_time_is_read(spark):
+    df = queries.QUERIES["validate_lengths"](spark, SF)
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    reads = [i for i, line in enumerate(lines) if "Generate explode" in line and r"^\d{4}-" in line]
+    assert len(reads) == len(S.TOPICS)
+    # What a line of a plan works on comes below it, up to the reading of the message.
+    for i in reads:
+        below = lines[i + 1:next(j for j in range(i, len(lines)) if "from_json(" in lines[j])]
+        assert any("Filter" in line and "length(" in line for line in below)
+
+
+@pytest.mark.parametrize("name", ["validate_lengths", "parse_failures", "dlq_from_invalid"])
+def test_messages_to_be_parsed_lie_in_even_pieces(spark, name):
+    text = plan(queries.QUERIES[name](spark, SF))
+    assert "REPARTITION_BY_COL" not in text  # adaptive execution merges those by their bytes
+    assert text.count("REPARTITION_BY_NUM") == 4  # orders three times, lineitem once
+    assert f", {queries.D.even_pieces(spark)}), REPARTITION_BY_NUM" in text
+    assert queries.D.even_pieces(spark) >= 4 * spark.sparkContext.defaultParallelism
