@@ -55,14 +55,15 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(spark.sparkContext.applicationId)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the shared folder: computed once, and not again if an executor is lost.
+def written(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, and not again if an executor is lost. `by`
+    is a column, the last one, of which every value gets a folder of its own.
 
     The shuffle files of the plan are of no use any more. Spark deletes them when its driver collects
     garbage, which a driver with little to do hardly does by itself, so it is asked to.
     """
     path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     _scratch.append(path)
     df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -78,6 +79,11 @@ def written_parts(parts: Iterable[DataFrame], label: str) -> DataFrame:
     return made.sparkSession.read.schema(made.schema).parquet(*paths)
 
 
+def scratch_path() -> str:
+    """The folder of the table written last."""
+    return _scratch[-1]
+
+
 def scratch_mark() -> int:
     """Where the tables written from now on begin; see `discard`."""
     return len(_scratch)

@@ -33,43 +33,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import (
-    arrow_schema, columns, drop_scratch, fresh, per_slice, scratch_mark, ship, slices, written,
-    written_parts)
+    arrow_schema, columns, drop_scratch, fresh, per_slice, scratch_mark, scratch_path, ship, slices,
+    written, written_parts)
 from orderloom.llm.components import components
 from orderloom.llm.shingles import BITMAP, bitmap, shingle_set, signatures
+from orderloom.sinks.tables import remove_folder
 
-#: Slices of the signatures. The index is made one slice after the other, so that the shuffle files on
-#: disk at a time are those of one; a slice is a column, and only that is read.
-SLICES = 4
-PARTS = [f"parts{i}" for i in range(SLICES)]
+#: Slices of the signatures. They are worked off one after the other, so that the shuffle files on disk at a
+#: time are those of one. A slice is a folder, which goes once its lists are made: signatures take far
+#: more room than all else that is kept of a set.
+SLICES = 8
 SETS = columns("uid bigint, doc_id bigint, k_hash bigint, n bigint, set_hi bigint, set_lo bigint,"
-               "bits bigints," + ",".join(f"{c} bigints" for c in PARTS))
+               "bits bigints")
+SIGNED = columns("uid bigint, doc_id bigint, k_hash bigint, n bigint, set_hi bigint, set_lo bigint,"
+                 "bits bigints, parts bigints, slice int")
 CHECKED = columns("a bigint, b bigint, overlap bigint, n_a bigint, n_b bigint")
 NO_ID = (1 << 63) - 1
 WORDS = BITMAP // 64
 
 
-def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """One row per row of `docs`, with a number of its own, as a stored table."""
+def sets_of(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """One row per row of `docs`, with a number of its own, and the signatures (uid, n, parts, slice), both
+    stored: a folder per slice, and one more, the last, for the sets."""
 
     def task(part: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {name: [] for name in SETS.names}
+        out: dict[str, list] = {name: [] for name in SIGNED.names}
         for uid, doc_id, k_hash, text in zip(*(part[c] for c in ("uid", "doc_id", "k_hash", "text")),
                                              strict=True):
             members = shingle_set(text, k)
             digest = np.frombuffer(xxhash.xxh3_128_digest(members.tobytes()), "<i8")
             signed = signatures(members, percent) if len(members) else np.zeros(0, "u8")
             own = signed % np.uint64(SLICES)
-            row = (uid, doc_id, k_hash, len(members), int(digest[0]), int(digest[1]),
-                   bitmap(members) if len(members) else [],
-                   *[signed[own == i].view("i8") for i in range(SLICES)])
-            for name, value in zip(SETS.names, row, strict=True):
-                out[name].append(value)
+            rows = [(uid, None, None, len(members), None, None, None, signed[own == i].view("i8"), i)
+                    for i in np.unique(own).tolist()]
+            rows.append((uid, doc_id, k_hash, len(members), int(digest[0]), int(digest[1]),
+                         bitmap(members) if len(members) else [], None, SLICES))
+            for row in rows:
+                for name, value in zip(SIGNED.names, row, strict=True):
+                    out[name].append(value)
         return out
 
     given = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id",
                         F.xxhash64("text").alias("k_hash"), "text")
-    return written(per_slice(given, task, SETS), "sets")
+    made = written(per_slice(given, task, SIGNED), "sets", by="slice")
+    return (made.where(F.col("slice") == SLICES).select(*SETS.names),
+            made.where(F.col("slice") < SLICES).select("uid", "n", "parts", "slice"))
 
 
 def linked(overlap: Column, a: Column, b: Column, percent: int) -> Column:
@@ -100,39 +108,53 @@ def checked(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
                 [pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), fields, strict=True)],
                 schema=fields)
 
-    met = pairs.select("a", "b").join(
-        texts.select(F.col("uid").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("uid").alias("b"), F.col("text").alias("text_b")), "b")
-    return written(met.select("a", "b", "text_a", "text_b").sortWithinPartitions("b").mapInArrow(
-        run, CHECKED), "checked")
+    text_a = texts.select(F.col("uid").alias("a"), F.col("text").alias("text_a"))
+    text_b = texts.select(F.col("uid").alias("b"), F.col("text").alias("text_b"))
+    return written_parts((
+        own.join(text_a, "a").join(other, "b").select("a", "b", "text_a", "text_b")
+        .sortWithinPartitions("b").mapInArrow(run, CHECKED)
+        for own, other in zip(halves(pairs.select("a", "b"), "b"), halves(text_b, "b"), strict=True)),
+        "checked")
 
 
-def entries_of(sets: DataFrame, reps: DataFrame) -> Iterator[DataFrame]:
-    """Per slice: list, pivot, uid, n of the lists with more than one set."""
-    for c in PARTS:
-        own = sets.select("uid", "n", F.col(c).alias("parts")).join(reps, "uid", "left_semi")
+def halves(rows: DataFrame, key: str) -> list[DataFrame]:
+    """The rows in two parts by a hash of the key, to be worked off one after the other."""
+    return [rows.where(F.pmod(F.xxhash64(key), F.lit(2)) == i) for i in range(2)]
+
+
+def entries_of(signed: DataFrame, path: str, reps: DataFrame) -> Iterator[DataFrame]:
+    """Per slice: list, pivot, uid, n of the lists with more than one set. The slice's folder below `path`
+    is removed after that."""
+    for i in range(SLICES):
+        own = signed.where(F.col("slice") == i).join(reps, "uid", "left_semi")
         entries = own.select("uid", "n", F.explode("parts").alias("part"))
         since = scratch_mark()
         lists = written(entries.groupBy("part").agg(
             F.min("uid").alias("pivot"), F.max("uid").alias("_last")).where("pivot <> _last").select(
             F.col("part").alias("list"), "pivot"), "lists")
         yield entries.join(lists, F.col("part") == F.col("list")).select("list", "pivot", "uid", "n")
-        drop_scratch(sets.sparkSession, since, since + 1)
+        drop_scratch(signed.sparkSession, since, since + 1)
+        remove_folder(signed.sparkSession, f"{path}/slice={i}")
 
 
-def set_links(sets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (a, b) between representatives of equal sets, enough to connect every component."""
+def set_links(sets: DataFrame, signed: DataFrame, path: str, docs: DataFrame, k: int,
+              percent: int) -> DataFrame:
+    """Links (a, b) between representatives of equal sets, enough to connect every component. Removes the
+    signatures, which lie below `path`."""
     reps = written(sets.where("n > 0").groupBy("set_hi", "set_lo").agg(F.min("uid").alias("rep")),
                    "representatives")
-    shared = written_parts(entries_of(sets, reps.select(F.col("rep").alias("uid"))), "entries")
+    shared = written_parts(entries_of(signed, path, reps.select(F.col("rep").alias("uid"))), "entries")
     there = shared.select("uid").distinct().join(
         sets.select("uid", "doc_id", "k_hash", "bits", "n"), "uid")
     there = written(there, "candidates")
     found = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("d"),
                         F.xxhash64("text").alias("h"), "text")
-    texts = written(there.select(
-        "uid", F.coalesce("doc_id", F.lit(NO_ID)).alias("d"), F.col("k_hash").alias("h")).join(
-        found, ["d", "h"]).dropDuplicates(["uid"]).select("uid", "text"), "texts")
+    wanted = there.select("uid", F.coalesce("doc_id", F.lit(NO_ID)).alias("d"),
+                          F.col("k_hash").alias("h"))
+    # One text per uid; with the keys of the join named as well, texts are not shuffled again for that.
+    texts = written_parts((
+        some.join(own, ["d", "h"]).dropDuplicates(["uid", "d", "h"]).select("uid", "text")
+        for some, own in zip(halves(wanted, "h"), halves(found, "h"), strict=True)), "texts")
 
     # First round: everything against the pivot of its list.
     sizes = there.select(F.col("uid").alias("pivot"), F.col("n").alias("p_n"))
@@ -178,12 +200,15 @@ def set_links(sets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
 
 def placed_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The stored sets, and set_hi, set_lo, root (number of the component) of each different set."""
-    sets = sets_of(docs, k, percent)
-    roots = components(set_links(sets, docs, k, percent))
+    sets, signed = sets_of(docs, k, percent)
+    path, since = scratch_path(), scratch_mark()
+    roots = components(set_links(sets, signed, path, docs, k, percent))
     reps = sets.where("n > 0").groupBy("set_hi", "set_lo").agg(F.min("uid").alias("node"))
-    named = reps.join(roots, "node", "left").select(
-        "set_hi", "set_lo", F.coalesce("root", "node").alias("root"))
-    return sets, written(named, "named-sets")
+    upto = scratch_mark()
+    named = written(reps.join(roots, "node", "left").select(
+        "set_hi", "set_lo", F.coalesce("root", "node").alias("root")), "named-sets")
+    drop_scratch(docs.sparkSession, since, upto)  # texts and links: the components stand
+    return sets, named
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import os
 import random
 import re
 import zlib
@@ -385,3 +386,18 @@ def test_words_of_kept_lines_are_not_looked_up(monkeypatch):
     made = passages.edit(text, [{"first": 1001, "end": 1003}, {"first": 2004, "end": 2006}])
     assert made == (f"{long}\none four\x0b\n \n{long}", 4, 1, 1, 4, "4-4", "1:1-2")
     assert searched == [len("one two  three\tfour\x0b"), 4]
+
+
+def test_signatures_go_once_their_lists_are_made(spark):
+    from orderloom.llm.common import scratch_path
+    text = " ".join(f"w{i}" for i in range(400))
+    df = spark.createDataFrame([(1, text), (2, text + " x"), (3, None)], "doc_id bigint, text string")
+    sets, signed = setjoin.sets_of(df, 5, 80)
+    path = scratch_path()
+    reps, left = sets.where("n > 0").select("uid"), []
+    assert sets.count() == 3 and signed.select("slice").distinct().count() == setjoin.SLICES
+    for entries in setjoin.entries_of(signed, path, reps):
+        assert entries.where("uid <> pivot").count() > 0
+        left.append(len([x for x in os.listdir(path.removeprefix("file:")) if x.startswith("slice=")]))
+    assert left == list(range(setjoin.SLICES + 1, 1, -1))  # the sets' own folder stays
+    assert sets.count() == 3
