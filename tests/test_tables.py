@@ -206,3 +206,20 @@ def test_checks_of_a_run_are_replaced(spark, tmp_path):
         write_checks(row, str(tmp_path), run)
     assert spark.read.schema(S.CHECK_RESULTS).parquet(str(tmp_path)).count() == 2
     assert read_table(spark, str(tmp_path / "none"), S.CHECK_RESULTS).count() == 0
+
+
+def test_rows_of_few_dates_are_neither_cached_nor_gathered(spark, tmp_path, monkeypatch):
+    from orderloom.sinks import tables
+    hints, kind = [], type(spark.range(1))
+    gather = kind.hint
+    monkeypatch.setattr(kind, "hint", lambda self, *a: hints.append(a) or gather(self, *a))
+    monkeypatch.setattr(kind, "persist", lambda *a: pytest.fail("rows are cached"))
+    monkeypatch.setattr(tables, "work_dir", lambda spark, label: str(tmp_path / label))
+    store = Store(spark, str(tmp_path / "store"))
+    few = [("A", f"2024-01-{n:02} 10:00:00", 1.0, n) for n in range(1, 3)]
+    for batch in (0, 1, 1):
+        store.add_raw(events(spark, *few), S.ORDERS_TOPIC, batch)
+    assert hints == [] and store.raw(S.ORDERS_TOPIC).count() == 2 and not (tmp_path / "rows").exists()
+    many = [("B", f"2024-01-{n:02} 10:00:00", 1.0, n) for n in range(1, 21)]
+    store.add_raw(events(spark, *many), S.ORDERS_TOPIC, 2)
+    assert hints == [("rebalance", "event_date")] and store.raw(S.ORDERS_TOPIC).count() == 22
