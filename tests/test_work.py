@@ -202,3 +202,12 @@ def test_messages_to_be_parsed_lie_in_even_pieces(spark, name):
     assert text.count("REPARTITION_BY_NUM") == 4  # orders three times, lineitem once
     assert f", {queries.D.even_pieces(spark)}), REPARTITION_BY_NUM" in text
     assert queries.D.even_pieces(spark) >= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_gold_of_few_dates_is_not_gathered(spark, monkeypatch):
+    hints, kind = [], type(spark.range(1))
+    monkeypatch.setattr(kind, "hint", lambda self, *a: hints.append(a) or self)
+    queries._upserted(spark, SF)
+    assert hints == []
+    queries.QUERIES["incremental_reconcile"](spark, SF)
+    assert hints == []
