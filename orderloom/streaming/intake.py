@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from orderloom import schemas as S
 from orderloom.operators.deadletter import dead_letters_from_events
 from orderloom.operators.keyed import raw_rows
-from orderloom.sinks.tables import Store, move_folder
+from orderloom.sinks.tables import COMPRESSION, Store, move_folder, remove_folder
 from orderloom.streaming import job
 from orderloom.streaming.late import newest_before, save_progress
 from orderloom.streaming.streams import each_batch
@@ -28,7 +27,7 @@ from orderloom.streaming.streams import each_batch
 def land(rows: DataFrame, path: str, topic: str, batch_id: int) -> None:
     """Write a folder aside and move it into place at once; a batch that has landed stays as it is."""
     aside = f"{path}/_landing/{topic}/batch_id={batch_id}"
-    rows.write.mode("overwrite").parquet(aside)
+    rows.write.mode("overwrite").option("compression", COMPRESSION).parquet(aside)
     move_folder(rows.sparkSession, aside, f"{path}/{topic}/batch_id={batch_id}")
 
 
@@ -37,8 +36,8 @@ def accept_batch(messages: DataFrame, batch_id: int, store: Store, path: str, *,
     """Dead letters and landed events of one batch; run again it gives the same."""
     clock = job.batch_clock(store, batch_id, as_of)
     newest = newest_before(store, batch_id)
-    checked = {topic: job.check_events(messages, topic, newest.get(topic), clock, strict_types, delay)
-               .persist(StorageLevel.MEMORY_AND_DISK) for topic in S.TOPICS}
+    checked, scratch = job.checked_tables(store, {topic: job.check_events(
+        messages, topic, newest.get(topic), clock, strict_types, delay, False) for topic in S.TOPICS})
     stray = job.stray_messages(messages)
     try:
         facts = job.batch_facts(store, checked, stray)
@@ -60,8 +59,7 @@ def accept_batch(messages: DataFrame, batch_id: int, store: Store, path: str, *,
                 newest[topic] = max(f.newest, newest.get(topic, f.newest))
         save_progress(store, newest, batch_id)
     finally:
-        for df in checked.values():
-            df.unpersist()
+        remove_folder(store.spark, scratch)
 
 
 def accept(messages: DataFrame, store: Store, path: str, checkpoint: str, *,

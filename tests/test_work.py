@@ -211,3 +211,31 @@ def test_gold_of_few_dates_is_not_gathered(spark, monkeypatch):
     assert hints == []
     queries.QUERIES["incremental_reconcile"](spark, SF)
     assert hints == []
+
+
+def test_messages_go_once_their_batch_is_done(spark, tmp_path, monkeypatch):
+    path, seen = tmp_path / "in", []
+    rows = spark.range(6, numPartitions=2)
+
+    def run():
+        stream = spark.readStream.schema(rows.schema).parquet(f"{path}/*")
+        return queries.streams.each_batch(stream, lambda df, n: seen.append(df.count()), str(tmp_path / "cp"))
+
+    queries.play_cut(spark, rows, F.col("id") % 3, 3, str(path), run)
+    assert seen == [2, 2, 2] and not list(path.iterdir())
+
+
+def test_checked_events_are_tables_that_go(spark, tmp_path, monkeypatch):
+    from orderloom.streaming import job
+    monkeypatch.setattr(job, "work_dir", lambda spark, label: str(tmp_path / label))
+    plans, facts = [], job.batch_facts
+
+    def watched(store, checked, stray):
+        plans.extend(plan(df) for df in checked.values())
+        return facts(store, checked, stray)
+
+    monkeypatch.setattr(job, "batch_facts", watched)
+    store = Store(spark, str(tmp_path / "store"), grain="year")
+    job.process_batch(queries.D.order_messages(spark, SF), 0, store, as_of=queries.D.MESSAGES_AS_OF)
+    assert len(plans) == 3 and not any("InMemoryTableScan" in p or "from_json" in p for p in plans)
+    assert store.gold().count() > 0 and not (tmp_path / "checked").exists()
