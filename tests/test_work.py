@@ -239,3 +239,13 @@ def test_checked_events_are_tables_that_go(spark, tmp_path, monkeypatch):
     job.process_batch(queries.D.order_messages(spark, SF), 0, store, as_of=queries.D.MESSAGES_AS_OF)
     assert len(plans) == 3 and not any("InMemoryTableScan" in p or "from_json" in p for p in plans)
     assert store.gold().count() > 0 and not (tmp_path / "checked").exists()
+
+
+def test_streams_keep_state_on_disk_in_any_session(spark):
+    name, unset = "spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.stateStore.rocksdb.x"
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    with queries.setting(spark, name, default), queries.setting(spark, unset, 1):
+        with queries.stream_width(spark):
+            assert spark.conf.get(name).endswith(".RocksDBStateStoreProvider")
+        assert spark.conf.get(name) == default
+    assert spark.conf.get(unset, None) is None
