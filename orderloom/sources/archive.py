@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions.times import moment
+from orderloom.session import release
 from orderloom.sinks.tables import read_table, write_batch
 
 PARTITIONS = ("year", "month", "day", "hour")
@@ -25,6 +26,7 @@ def archive(events: DataFrame, path: str, batch_id: int,
     Events without a time go to the default partition, which `replay` leaves out.
     """
     write_batch(with_hour_columns(events, time_column), path, batch_id, PARTITIONS)
+    release(events.sparkSession)
 
 
 def replay(spark: SparkSession, path: str, schema: str, start, end,

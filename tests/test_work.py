@@ -249,3 +249,12 @@ def test_streams_keep_state_on_disk_in_any_session(spark):
             assert spark.conf.get(name).endswith(".RocksDBStateStoreProvider")
         assert spark.conf.get(name) == default
     assert spark.conf.get(unset, None) is None
+
+
+def test_shuffle_files_of_an_archive_go_once_it_is_written(spark, tmp_path, monkeypatch):
+    from orderloom.sources import archive
+    freed = []
+    monkeypatch.setattr(archive, "release", lambda spark: freed.append(list(tmp_path.iterdir())))
+    archive.archive(spark.range(3).withColumn("event_timestamp", F.lit("2024-01-15").cast("timestamp")),
+                    str(tmp_path / "a"), 0)
+    assert freed == [[tmp_path / "a"]]
